@@ -69,19 +69,20 @@ def date_from_parts(year: Column, month: Column, day: Column) -> Column:
 
 
 def day_month_year(text: Column) -> Column:
-    """Date from ``dd/mm/yyyy``; NULL on any other shape or an impossible day."""
-    value = strip(text)
-    shaped = F.when(value.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), value)
-    return F.try_to_date(shaped, "d/M/yyyy")
+    """Date from stripped ``dd/mm/yyyy``; NULL on any other shape or an impossible day."""
+    iso = F.concat_ws(
+        "-",
+        F.substring_index(text, "/", -1),
+        F.substring_index(F.substring_index(text, "/", 2), "/", -1),
+        F.substring_index(text, "/", 1),
+    )
+    return F.when(text.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), iso.try_cast("date"))
 
 
 def day_month_year_strict(text: Column) -> Column:
-    """Date from ``dd/mm/yyyy``; the job fails on a value that is not one."""
-    value = strip(text)
-    return F.when(
-        value.isNotNull() & day_month_year(value).isNull(),
-        F.raise_error(F.concat(F.lit("not a dd/mm/yyyy date: "), value)).cast("date"),
-    ).otherwise(day_month_year(value))
+    """Date from stripped ``dd/mm/yyyy``; the job fails on a value that is not one."""
+    wrong = F.raise_error(F.concat(F.lit("not a dd/mm/yyyy date: "), text)).cast("date")
+    return F.when(text.isNotNull(), F.coalesce(day_month_year(text), wrong))
 
 
 def reparsed_date(value: Column) -> Column:

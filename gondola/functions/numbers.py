@@ -1,10 +1,13 @@
-"""Number and code parsing. Unparsable text becomes NULL (or 0 where said), never an error."""
+"""Number and code parsing, of stripped text (see ``functions.text``).
+
+Unparsable text becomes NULL, or 0 where said, never an error.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gondola.functions.text import SPACE_CLASS, missing_to_null, strip
+from gondola.functions.text import MISSING_TEXTS, SPACE_CLASS
 
 # A finite decimal number. try_cast alone would also take "1d", "1f" and "Infinity".
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -14,14 +17,12 @@ INTEGER = r"^\d+(\.0)?$"
 
 def plain_number(text: Column) -> Column:
     """Double from number text with a decimal point; anything else is NULL."""
-    value = strip(text)
-    return F.when(value.rlike(NUMBER), value.try_cast("double"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def is_bad_number(text: Column) -> Column:
     """True for text that is neither missing nor a number. Never NULL."""
-    value = strip(text)
-    return F.coalesce(missing_to_null(value).isNotNull() & ~value.rlike(NUMBER), F.lit(False))
+    return F.coalesce(~F.lower(text).isin(*MISSING_TEXTS) & ~text.rlike(NUMBER), F.lit(False))
 
 
 def number_or_zero(text: Column) -> Column:
@@ -59,38 +60,34 @@ def _expanded(text: Column) -> Column:
     length = F.length(whole) + exponent
     digits = F.concat(whole, fraction)
     moved = F.when(length <= 0, F.lit("0")).otherwise(F.rpad(digits, length, "0"))
-    return _unpadded(moved)
+    return without_leading_zeros(moved)
 
 
-def _unpadded(digits: Column) -> Column:
+def without_leading_zeros(digits: Column) -> Column:
     return F.regexp_replace(digits, r"^0+(?=\d)", "")
 
 
-def barcode_digits(value: Column) -> Column:
+def barcode_digits(text: Column) -> Column:
     """Digits of a product code as stable text.
 
     Scientific notation becomes the exact integer; otherwise one trailing
     ``.0`` goes and only digits stay, leading zeros included. No digits: NULL.
     """
-    text = strip(value.cast("string"))
-    digits = F.regexp_replace(F.regexp_replace(text, r"\.0$", ""), r"[^0-9]+", "")
-    return F.when(text.rlike(SCIENTIFIC), _expanded(text)).otherwise(F.nullif(digits, F.lit("")))
+    digits = F.regexp_replace(text, r"\.0$|[^0-9]", "")
+    return F.when(text.rlike(SCIENTIFIC), _expanded(text)).when(text.rlike("[0-9]"), digits)
 
 
-def integer_key(value: Column) -> Column:
+def integer_key(text: Column) -> Column:
     """A product code as the canonical integer text both join sides use.
 
     Leading zeros go. Text that is not an integer (plain, with ``.0`` or in
     scientific notation) is NULL, so that its row counts as unmatched instead of
     stopping the load.
     """
-    text = strip(value.cast("string"))
-    return F.when(text.rlike(SCIENTIFIC), _expanded(text)).when(
-        text.rlike(INTEGER), _unpadded(F.regexp_replace(text, r"\.0$", ""))
-    )
+    plain = F.regexp_replace(text, r"^0+(?=\d)|\.0$", "")
+    return F.when(text.rlike(INTEGER), plain).when(text.rlike(SCIENTIFIC), _expanded(text))
 
 
-def store_code(value: Column) -> Column:
+def store_code(text: Column) -> Column:
     """Store id for output: leading zeros go when it is all digits, else kept as text."""
-    text = strip(value.cast("string"))
-    return F.when(text.rlike(r"^\d+$"), _unpadded(text)).otherwise(text)
+    return F.when(text.rlike(r"^\d+$"), without_leading_zeros(text)).otherwise(text)

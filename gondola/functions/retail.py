@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from gondola.functions.dates import lookup
 from gondola.functions.numbers import NUMBER
-from gondola.functions.text import missing_to_null, strip
+from gondola.functions.text import known
 
 # Category words of drinks, and store types in order of priority.
 DRINK_WORDS = ("BEBID", "CAÑ", "VINO", "CERVE")
@@ -17,12 +17,11 @@ STORE_CODE_FIXES = {"360845043": "359545043"}
 
 
 def presentation_text(content: Column, category: Column) -> Column:
-    """Pack text from the content: ``85 GR.``, or ``900 ML.`` for drinks.
+    """Pack text from the stripped content: ``85 GR.``, or ``900 ML.`` for drinks.
 
     Missing content gives ``-``; content that is no number stays as it is.
     """
-    text = strip(content)
-    number = F.translate(text, ",", ".")
+    number = F.translate(content, ",", ".")
     amount = F.when(number.rlike(NUMBER), number.try_cast("double"))
     whole = F.when(amount < 0, F.ceil(amount)).otherwise(F.floor(amount)).cast("string")
     name = F.upper(F.coalesce(category, F.lit("")))
@@ -31,9 +30,9 @@ def presentation_text(content: Column, category: Column) -> Column:
         drink = drink | name.contains(word)
     unit = F.when(drink, F.lit(" ML.")).otherwise(F.lit(" GR."))
     return (
-        F.when(missing_to_null(text).isNull(), F.lit("-"))
+        F.when(known(content).isNull(), F.lit("-"))
         .when(whole.isNotNull(), F.concat(whole, unit))
-        .otherwise(text)
+        .otherwise(content)
     )
 
 

@@ -1,4 +1,8 @@
-"""Text cleaning."""
+"""Text cleaning.
+
+Functions that use a value more than once take it stripped. Callers strip in a
+``select`` of its own, so that the value is computed once and not once per use.
+"""
 
 from __future__ import annotations
 
@@ -19,16 +23,16 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def known(text: Column) -> Column:
+    """NULL for an empty text and for the spelled-out missing markers, of stripped text."""
+    return F.when(~F.lower(text).isin(*MISSING_TEXTS), text)
+
+
 def missing_to_null(text: Column) -> Column:
     """NULL for blank cells and for the spelled-out missing markers; else unchanged."""
     return F.when(~F.lower(strip(text)).isin(*MISSING_TEXTS), text)
 
 
-def clean_cell(text: Column) -> Column:
-    """A cell as read from a file: stripped, missing markers as NULL."""
-    return missing_to_null(strip(text))
-
-
 def upper_trim(text: Column) -> Column:
     """Strip, collapse inner white space to one space, upper-case."""
     return F.upper(F.regexp_replace(strip(text), SPACE_CLASS + "+", " "))

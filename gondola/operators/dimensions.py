@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from gondola.functions.numbers import whole_number
+from gondola.functions.text import strip
 from gondola.operators.dedup import keep_first
 from gondola.operators.joins import anti_by_key
 from gondola.operators.schema import drop_missing_key, quoted
@@ -41,7 +42,8 @@ def product_dimension(feed: DataFrame) -> DataFrame:
     dim = drop_missing_key(dim, "Id_Producto").distinct()
     if "Cant_Contenido_SKU" not in dim.columns:
         return dim
-    return dim.withColumn("Cant_Contenido_SKU", whole_number(F.col("Cant_Contenido_SKU")))
+    stripped = dim.withColumn("Cant_Contenido_SKU", strip(F.col("Cant_Contenido_SKU")))
+    return stripped.withColumn("Cant_Contenido_SKU", whole_number(F.col("Cant_Contenido_SKU")))
 
 
 def store_dimension(feed: DataFrame) -> DataFrame:

@@ -30,29 +30,33 @@ def chain_measures(
 
 
 def dollars(local_amount: Column) -> Column:
-    """Local amount in dollars to three places, halves to the even digit."""
-    return F.bround(local_amount / LOCAL_PER_DOLLAR, 3)
+    """Local amount in dollars to three places, halves to the even digit.
+
+    Scaled, rounded and scaled back in binary; bround() works on the decimal digits of
+    the quotient instead and differs from that in rare cases.
+    """
+    return F.rint(local_amount / LOCAL_PER_DOLLAR * 1000) / 1000
 
 
 def _no_less_than_zero(value: Column) -> Column:
-    usable = F.when(~F.isnan(value), value)
-    return F.greatest(F.coalesce(usable, F.lit(0.0)), F.lit(0.0))
+    return F.greatest(F.nanvl(F.coalesce(value, F.lit(0.0)), F.lit(0.0)), F.lit(0.0))
+
+
+def panel_volume(sales_volume: Column, quantity: Column, content: Column) -> Column:
+    """Sales volume, or quantity times content where it is not positive."""
+    return F.when(sales_volume > 0, sales_volume).otherwise(quantity * content)
 
 
 def panel_measures(
     category: Column,
     pack_class: Column,
-    sales_volume: Column,
+    volume: Column,
     quantity: Column,
     content: Column,
     bale_volume: float = PANEL_BALE_VOLUME,
 ) -> dict[str, Column]:
-    """kilos, cajas and fardos of a panel row; missing and negative give 0.
-
-    The numbers are already parsed. Volume falls back to quantity times content.
-    """
+    """kilos, cajas and fardos of a panel row; missing and negative give 0."""
     kind, pack = F.upper(category), F.upper(pack_class)
-    volume = F.when(sales_volume > 0, sales_volume).otherwise(quantity * content)
     per_pack = F.when(content == 20, F.lit(10.0)).otherwise(F.lit(20.0))
     boxes = F.when(pack == "CAJETILLAS", volume / 10000.0).when(
         pack == "GRUESAS", content * per_pack * quantity / 10000.0

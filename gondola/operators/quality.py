@@ -15,15 +15,16 @@ from gondola.operators.schema import quoted
 def bad_numbers(df: DataFrame, column: str, context: Sequence[str] = ()) -> DataFrame:
     """Rows whose ``column`` is neither missing nor a number: the context and ``bad_value``."""
     shown = [F.col(quoted(c)) for c in context if c in df.columns]
-    bad = df.filter(is_bad_number(F.col(quoted(column))))
-    return bad.select(*shown, strip(F.col(quoted(column))).alias("bad_value"))
+    stripped = df.select(*shown, strip(F.col(quoted(column))).alias("bad_value"))
+    return stripped.filter(is_bad_number(F.col("bad_value")))
 
 
 def require_numbers(
     df: DataFrame, column: str, context: Sequence[str], order_by: Sequence[str], label: str = ""
 ) -> None:
     """Fail on the first bad number in row order, showing it and the commonest ones."""
-    bad = df.filter(is_bad_number(F.col(quoted(column))))
+    stripped = df.withColumn(column, strip(F.col(quoted(column))))
+    bad = stripped.filter(is_bad_number(F.col(quoted(column))))
     first = bad.orderBy(*[quoted(c) for c in order_by]).limit(1).collect()
     if not first:
         return

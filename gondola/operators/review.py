@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gondola.functions.numbers import thousands_number
 from gondola.functions.retail import presentation_text
+from gondola.functions.text import strip
 from gondola.operators.dedup import keep_first
 from gondola.operators.joins import anti_by_key
 from gondola.operators.schema import column_or_null, quoted, require_columns
@@ -104,8 +105,9 @@ def panel_product_queue(
     """
     require_columns(feed, ["codigo barras sku"], "panel feed")
     rows = _first_missing(feed, dim, "codigo barras sku", "Id_Producto", order_by)
-    content = column_or_null(rows, "cant contenido sku")
     has_content = "cant contenido sku" in rows.columns
+    rows = rows.withColumn("_content", strip(column_or_null(rows, "cant contenido sku")))
+    content = F.col("_content")
     category = column_or_null(rows, "categoria sku")
     values: dict[str, Column] = {
         new: column_or_null(rows, old) for new, old in PANEL_PRODUCT_SOURCES.items()

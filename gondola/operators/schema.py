@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from gondola.functions.text import clean_cell, plain_text
+from gondola.functions.text import known, plain_text, strip
 
 HEADER_STYLES = {
     "lower": lambda name: name.strip().lower(),
@@ -80,11 +80,32 @@ def put_first(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(quoted(c)) for c in first + [c for c in df.columns if c not in first]])
 
 
+def computed(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add or replace columns that are evaluated once per row.
+
+    After a plain ``select`` a filter on its columns, or the not-null test a join
+    implies, moves below it and repeats their expressions, and parsed text costs far
+    more to repeat than to filter late. Filters do not move below ``inline``.
+    """
+    kept = [F.col(quoted(c)) for c in df.columns if c not in columns]
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def clean_cells(df: DataFrame) -> DataFrame:
     """Every text cell stripped, missing markers as NULL."""
+    return on_texts(strip_cells(df), known)
+
+
+def strip_cells(df: DataFrame) -> DataFrame:
+    return on_texts(df, strip)
+
+
+def on_texts(df: DataFrame, function: Callable[[Column], Column]) -> DataFrame:
+    """Apply a function to every text column."""
     texts = {name for name, dtype in df.dtypes if dtype == "string"}
     return df.select(
-        *[clean_cell(F.col(quoted(c))).alias(c) if c in texts else F.col(quoted(c)) for c in df.columns]
+        *[function(F.col(quoted(c))).alias(c) if c in texts else F.col(quoted(c)) for c in df.columns]
     )
 
 

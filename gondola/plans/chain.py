@@ -10,7 +10,7 @@ from pyspark.sql.types import NumericType
 
 from gondola.functions.dates import day_month_year, month_start, period
 from gondola.functions.numbers import (
-    barcode_digits, integer_key, is_bad_number, plain_number, store_code,
+    barcode_digits, integer_key, is_bad_number, plain_number, store_code, without_leading_zeros,
 )
 from gondola.functions.text import strip
 from gondola.operators import quality, sinks
@@ -20,7 +20,7 @@ from gondola.operators.measures import CIGARETTES, chain_measures, dollars
 from gondola.operators.numbering import load_index
 from gondola.operators.replace import rejects_by_reason
 from gondola.operators.review import chain_product_queue, chain_store_queue
-from gondola.operators.schema import column_or_null, keep_enabled, quoted, require_columns
+from gondola.operators.schema import column_or_null, computed, keep_enabled, quoted, require_columns, strip_cells
 from gondola.session import written
 from gondola.sources.feeds import SOURCE_ORDER
 
@@ -75,6 +75,8 @@ def tag_rows(
 ) -> DataFrame:
     """Every feed row of the given categories with its parsed values and what is wrong with it.
 
+    The feed's cells are clean (``schema.clean_cells``, which ``read_feed`` applies).
+
     One pass over the feed serves the fact, the rejects and both review queues.
     ``month`` is the month the run loads; rows of other months are out of period.
     Product code and content come from the dimension; the code is compared in its
@@ -82,28 +84,20 @@ def tag_rows(
     """
     require_columns(feed, REQUIRED, "chain feed")
     rank = F.array_position(F.array(*[F.lit(c) for c in CATEGORIES]), F.col("category"))
-    key = integer_key(F.col("`codigo de barras`"))
-    rows = keep_enabled(feed, categories or list(CATEGORIES)).withColumns(
+    code = F.col("`codigo de barras`")
+    rows = computed(
+        keep_enabled(feed, categories or list(CATEGORIES)),
         {
             "category_rank": rank,
-            "product_key": key,
-            "codigo de barras": F.coalesce(key, strip(F.col("`codigo de barras`"))),
-            "id_sucursal": strip(F.col("id_sucursal")),
+            "product_key": integer_key(code),
             "units": plain_number(F.col("`unidades vendidas`")),
             "amount": plain_number(F.col("`total facturado`")),
             "day": day_month_year(F.col("fecha")),
-        }
-    )
-    known_products = keep_first(
-        products.select(
-            integer_key(barcode_digits(F.col("ean"))).alias("product_key"),
-            _number(products, "gramaje").alias("content"),
-            F.col("presentacion").cast("string").alias("pack"),
-        ).filter("product_key is not null"),
-        ["product_key"],
+        },
     )
+    rows = rows.withColumn("codigo de barras", F.coalesce("product_key", code))
     known_stores = stores.select(strip(F.col("id_sucursal_bg").cast("string")).alias("store_key")).distinct()
-    rows = with_key_flag(rows, known_products, "product_key", "product_key", "has_product", dedup=False)
+    rows = with_key_flag(rows, _known_products(products), "product_key", "product_key", "has_product", dedup=False)
     rows = with_key_flag(rows, known_stores, "id_sucursal", "store_key", "has_store", dedup=False)
 
     other_month = F.lit(False) if month is None else month_start(F.col("day")) != F.lit(month.replace(day=1))
@@ -111,13 +105,28 @@ def tag_rows(
         {
             "missing_product": ~F.col("has_product"),
             "missing_store": F.col("has_product") & ~F.col("has_store"),
-            "bad_units": is_bad_number(F.col("`unidades vendidas`")),
-            "bad_amount": is_bad_number(F.col("`total facturado`")),
-            "bad_pack": (F.col("category") == CIGARETTES) & is_bad_number(F.col("pack")),
+            "bad_units": F.col("`unidades vendidas`").isNotNull() & F.col("units").isNull(),
+            "bad_amount": F.col("`total facturado`").isNotNull() & F.col("amount").isNull(),
+            "bad_pack": F.coalesce((F.col("category") == CIGARETTES) & F.col("pack_is_bad"), F.lit(False)),
             "bad_date": F.col("day").isNull(),
             "out_of_period": F.coalesce(other_month, F.lit(False)),
         }
+    ).drop("pack_is_bad")
+
+
+def _known_products(products: DataFrame) -> DataFrame:
+    """One row per canonical code with its content and the number in its pack text."""
+    stripped = strip_cells(
+        products.select(F.col("ean").cast("string"), "gramaje", F.col("presentacion").cast("string").alias("pack"))
+    )
+    keyed = stripped.select(
+        barcode_digits(F.col("ean")).alias("digits"), _number(stripped, "gramaje").alias("content"), "pack"
+    ).filter("digits is not null")
+    first = keep_first(
+        keyed.select(without_leading_zeros(F.col("digits")).alias("product_key"), "content", "pack"), ["product_key"]
     )
+    pack = F.col("pack")
+    return first.withColumns({"pack_units": plain_number(pack), "pack_is_bad": is_bad_number(pack)})
 
 
 def require_clean_numbers(tagged: DataFrame, order_by: Sequence[str] = SOURCE_ORDER) -> None:
@@ -138,8 +147,7 @@ def _wrong() -> Column:
 
 def fact_rows(tagged: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """Valid rows as the wide fact of all categories, without the index."""
-    pack = plain_number(F.col("pack"))
-    measures = chain_measures(F.col("category"), F.col("units"), F.col("content"), pack)
+    measures = chain_measures(F.col("category"), F.col("units"), F.col("content"), F.col("pack_units"))
     values = measures | {
         "period": period(F.col("day")),
         "id_sucursal_bg": store_code(F.col("id_sucursal")),

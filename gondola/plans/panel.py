@@ -12,11 +12,11 @@ from gondola.functions.retail import fixed_store_code, store_type
 from gondola.functions.text import missing_to_null, upper_trim
 from gondola.operators import sinks
 from gondola.operators.joins import correct_store_names, key_flags
-from gondola.operators.measures import bounded_measure, panel_measures, units_or_quantity
+from gondola.operators.measures import bounded_measure, panel_measures, panel_volume, units_or_quantity
 from gondola.operators.numbering import run_row_ids
 from gondola.operators.replace import rejects_by_reason
 from gondola.operators.review import panel_product_queue, panel_store_queue
-from gondola.operators.schema import column_or_null, put_first, quoted
+from gondola.operators.schema import column_or_null, computed, put_first, quoted
 from gondola.session import written
 from gondola.sources.feeds import SOURCE_ORDER
 
@@ -59,20 +59,24 @@ def prepare(feed: DataFrame, name_mapping: DataFrame | None = None) -> DataFrame
     if "pdv clasif 3" in feed.columns:
         feed = feed.withColumn("tipo_de_comercio", store_type(F.col("`pdv clasif 3`")))
 
-    def parsed(name: str):
-        return number_or_zero(column_or_null(feed, name))
-
+    # Each step reads the columns of the one before, so nothing is parsed twice.
+    sources = {"_sales": "ventas en volumen", "_quantity": "cantidad de venta", "_content": "cant contenido sku"}
+    day = date_from_parts(
+        *[column_or_null(feed, c) for c in ("ano de fecha", "mes de fecha", "dia de fecha")]
+    )
+    feed = computed(
+        feed, {"fecha": day} | {new: number_or_zero(column_or_null(feed, old)) for new, old in sources.items()}
+    )
+    volume = panel_volume(F.col("_sales"), F.col("_quantity"), F.col("_content"))
+    feed = feed.withColumn("_volume", volume)
     measures = panel_measures(
         column_or_null(feed, "categoria sku"),
         column_or_null(feed, "prod clasif 10"),
-        parsed("ventas en volumen"),
-        parsed("cantidad de venta"),
-        parsed("cant contenido sku"),
-    )
-    day = date_from_parts(
-        *[column_or_null(feed, c) for c in ("ano de fecha", "mes de fecha", "dia de fecha")]
+        F.col("_volume"),
+        F.col("_quantity"),
+        F.col("_content"),
     )
-    return correct_store_names(feed.withColumns({"fecha": day} | measures), name_mapping)
+    return correct_store_names(feed.withColumns(measures).drop(*sources, "_volume"), name_mapping)
 
 
 def fact_candidates(prepared: DataFrame, columns: Sequence[str] = ()) -> DataFrame:

@@ -7,9 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
-from gondola.functions.text import clean_cell, strip
 from gondola.operators.dedup import keep_last
-from gondola.operators.schema import normalize_headers, quoted, require_columns
+from gondola.operators.schema import clean_cells, normalize_headers, quoted, require_columns
 
 
 def read_dimension(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> DataFrame:
@@ -48,7 +47,8 @@ def store_id_mapping(raw: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     if "nombre" not in named.columns:
         named = named.withColumn("nombre", F.lit(None).cast("string"))
     wanted = ["id_sucursal_nuevo", "id_sucursal_viejo", "nombre"]
-    cleaned = named.withColumns({c: clean_cell(F.col(c).cast("string")) for c in wanted})
+    cleaned = named.withColumns({c: F.col(c).cast("string") for c in wanted})
+    cleaned = clean_cells(cleaned)
     both = cleaned.filter(F.col("id_sucursal_nuevo").isNotNull() & F.col("id_sucursal_viejo").isNotNull())
     return keep_last(both, ["id_sucursal_nuevo"], order or wanted).select(*wanted)
 
@@ -66,5 +66,5 @@ def store_name_mapping(raw: DataFrame) -> DataFrame | None:
     if not {"Nombre PDV", "Nombre PDV Correcto"} <= set(raw.columns):
         return None
     known = [c for c in ("Nombre PDV", "PDV_RAZON_SOCIAL", "Nombre PDV Correcto") if c in raw.columns]
-    cells = [clean_cell(F.col(quoted(c)).cast("string")).alias(c) for c in known]
-    return raw.select(*cells).filter(strip(F.col("`Nombre PDV`")).isNotNull())
+    texts = raw.select(*[F.col(quoted(c)).cast("string").alias(c) for c in known])
+    return clean_cells(texts).filter(F.col("`Nombre PDV`").isNotNull())

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.functions import dates, flags, numbers, retail, text
 from gondola.operators import dedup, dimensions, joins, measures, numbering, promotion, quality, replace, review
-from gondola.operators.schema import clean_cells, keep_enabled, split_by_flag
+from gondola.operators.schema import clean_cells, keep_enabled, split_by_flag, strip_cells
 from gondola.plans import chain, panel
 from gondola.session import tune
 from gondola.sources import selection, tables
@@ -114,13 +114,12 @@ def load_row_index(spark, sf_dir):
     feed = load(spark, sf_dir, "chain_feed")
     rows = feed.select(
         "category",
-        dates.period(dates.day_month_year(F.col("fecha"))).alias("period"),
         dates.day_month_year(F.col("fecha")).alias("day"),
         "sucursal",
         "descripcion",
         "source_file",
         "source_row",
-    )
+    ).withColumn("period", dates.period(F.col("day")))
     order = ["day", "sucursal", "descripcion", "source_file", "source_row"]
     return numbering.load_index(rows, order, ["category", "period"]).drop("source_file", "source_row")
 
@@ -129,11 +128,11 @@ def load_row_index(spark, sf_dir):
 
 
 def _sales(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    feed = load(spark, sf_dir, "chain_feed")
-    products = load(spark, sf_dir, "chain_products")
+    feed = load(spark, sf_dir, "chain_feed").select(text.strip(F.col("`codigo de barras`")).alias("codigo de barras"), "marca", "fecha")
+    products = load(spark, sf_dir, "chain_products").withColumn("ean", numbers.barcode_digits(F.col("ean")))
     fact = feed.select(numbers.integer_key(F.col("`codigo de barras`")).alias("codigo"), "marca", "fecha")
     dim = products.select(
-        numbers.integer_key(numbers.barcode_digits(F.col("ean"))).alias("ean"), "gramaje", "presentacion", "marca"
+        numbers.without_leading_zeros(F.col("ean")).alias("ean"), "gramaje", "presentacion", "marca"
     )
     return fact, dim
 
@@ -225,9 +224,9 @@ def canonical_product_key(spark, sf_dir):
     """Digits and canonical key of every product code as it came, in feed and dimension."""
     feed = load(spark, sf_dir, "chain_feed").select(F.col("`codigo de barras`").alias("codigo"))
     codes = feed.union(load(spark, sf_dir, "chain_products").select("ean"))
-    code = F.col("codigo")
-    return codes.select(
-        code,
+    code = F.col("_stripped")
+    return codes.withColumn("_stripped", text.strip(F.col("codigo"))).select(
+        "codigo",
         numbers.barcode_digits(code).alias("digits"),
         numbers.integer_key(code).alias("key"),
         numbers.store_code(code).alias("as_store"),
@@ -425,7 +424,7 @@ def _promotion(spark, sf_dir, entity: str) -> tuple[promotion.Promotion, DataFra
     if entity == "chain_products":
         queue = queue.select(F.col("clave").alias("ean"), F.col("nombre").alias("producto"), F.col("codigo").alias("gramaje"), "event_id", "Para Escritura")
         dim = load(spark, sf_dir, "chain_products").select(
-            numbers.integer_key(numbers.barcode_digits(F.col("ean"))).alias("ean"), "producto", F.col("presentacion").alias("gramaje")
+            numbers.without_leading_zeros(numbers.barcode_digits(F.col("ean"))).alias("ean"), "producto", F.col("presentacion").alias("gramaje")
         )
         return promotion.promote(queue, dim, "ean", "lenient", order_by=["producto", "gramaje"]), dim
     if entity == "chain_stores":
