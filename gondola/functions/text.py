@@ -30,12 +30,14 @@ def known(text: Column) -> Column:
 
 def missing_to_null(text: Column) -> Column:
     """NULL for blank cells and for the spelled-out missing markers; else unchanged."""
-    return F.when(~F.lower(strip(text)).isin(*MISSING_TEXTS), text)
+    markers = "|".join(m for m in MISSING_TEXTS if m)
+    space = SPACE_CLASS.removeprefix("(?U)") + "*"
+    return F.when(~text.rlike(f"(?iU)^{space}({markers})?{space}$"), text)
 
 
 def upper_trim(text: Column) -> Column:
     """Strip, collapse inner white space to one space, upper-case."""
-    return F.upper(F.regexp_replace(strip(text), SPACE_CLASS + "+", " "))
+    return F.upper(F.trim(F.regexp_replace(text, SPACE_CLASS + "+", " ")))
 
 
 def match_key(text: Column) -> Column:

@@ -16,16 +16,21 @@ def running_total(
     group_by: Sequence[str] = (),
     weight: str | None = None,
     out: str = "index",
+    stored: bool = False,
 ) -> DataFrame:
     """Number the rows 1..n per group in the given order, or sum ``weight`` so far.
 
     A window over the group would put a whole group into one task. Here the rows are
     range-partitioned by group and order, so that a large group covers many
-    partitions, and written once with their place in the partition. Every partition
+    partitions, and written with their place in the partition. Every partition
     then contributes one subtotal per group, and the sum of the subtotals before it
     is what its own rows start from. ``order_by`` should be a total order; rows equal
     in all of it cannot be spread, so add a source position where copies may abound.
+
+    Finding the ranges reads the rows once more. They are written first, unless they
+    are ``stored``: read from a table with little work in between.
     """
+    df = df if stored else written(df)
     keys = [quoted(c) for c in group_by]
     order = keys + [quoted(c) for c in order_by]
     place = {"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}
@@ -63,13 +68,15 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, condition, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
-def load_index(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str]) -> DataFrame:
+def load_index(
+    df: DataFrame, order_by: Sequence[str], group_by: Sequence[str], stored: bool = False
+) -> DataFrame:
     """``index`` 1..n within each load (one category and period)."""
-    return running_total(df, order_by, group_by, out="index")
+    return running_total(df, order_by, group_by, out="index", stored=stored)
 
 
-def run_row_ids(df: DataFrame, order_by: Sequence[str], run_stamp: str) -> DataFrame:
+def run_row_ids(df: DataFrame, order_by: Sequence[str], run_stamp: str, stored: bool = False) -> DataFrame:
     """``Id`` = position in the run from 0, an underscore and the run's stamp."""
-    numbered = running_total(df, order_by, out="_position")
+    numbered = running_total(df, order_by, out="_position", stored=stored)
     ident = F.concat_ws("_", (F.col("_position") - 1).cast("string"), F.lit(run_stamp))
     return numbered.withColumn("Id", ident).drop("_position")

@@ -10,6 +10,9 @@ from pyspark.sql.types import StructType
 
 from gondola.functions.text import known, plain_text, strip
 
+# Where a feed row came from; together a total order over all rows read.
+SOURCE_ORDER = ("source_file", "source_block", "source_row")
+
 HEADER_STYLES = {
     "lower": lambda name: name.strip().lower(),
     "plain": lambda name: re.sub(r"\s+", " ", plain_text(name).lower()).strip(),
@@ -102,8 +105,8 @@ def strip_cells(df: DataFrame) -> DataFrame:
 
 
 def on_texts(df: DataFrame, function: Callable[[Column], Column]) -> DataFrame:
-    """Apply a function to every text column."""
-    texts = {name for name, dtype in df.dtypes if dtype == "string"}
+    """Apply a function to every text column but the row's source."""
+    texts = {name for name, dtype in df.dtypes if dtype == "string" and name not in SOURCE_ORDER}
     return df.select(
         *[function(F.col(quoted(c))).alias(c) if c in texts else F.col(quoted(c)) for c in df.columns]
     )

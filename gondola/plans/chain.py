@@ -20,9 +20,10 @@ from gondola.operators.measures import CIGARETTES, chain_measures, dollars
 from gondola.operators.numbering import load_index
 from gondola.operators.replace import rejects_by_reason
 from gondola.operators.review import chain_product_queue, chain_store_queue
-from gondola.operators.schema import column_or_null, computed, keep_enabled, quoted, require_columns, strip_cells
+from gondola.operators.schema import (
+    SOURCE_ORDER, column_or_null, computed, keep_enabled, quoted, require_columns, strip_cells,
+)
 from gondola.session import written
-from gondola.sources.feeds import SOURCE_ORDER
 
 # The categories in load order, whether they are on, and the columns
 # of their fact tables.
@@ -163,9 +164,9 @@ def fact_rows(tagged: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     return tagged.filter(~_wrong()).select(*[values[c].alias(c) for c in WIDE], *extra)
 
 
-def fact(tagged: DataFrame, order_by: Sequence[str] = SOURCE_ORDER) -> DataFrame:
+def fact(tagged: DataFrame, order_by: Sequence[str] = SOURCE_ORDER, stored: bool = False) -> DataFrame:
     """The wide fact with ``index`` 1..n per category and month, in file order."""
-    numbered = load_index(fact_rows(tagged, order_by), order_by, ["category", "period"])
+    numbered = load_index(fact_rows(tagged, order_by), order_by, ["category", "period"], stored)
     return numbered.select("index", *WIDE)
 
 
@@ -214,7 +215,7 @@ def run(
     if strict:
         require_clean_numbers(tagged)
     tagged = written(tagged)
-    rows = fact(tagged)
+    rows = fact(tagged, stored=True)
     if not dry_run:
         sinks.write_periods_found(rows, f"{out}/fact", "fecha", ("category", "period"))
         filled = {r.category for r in fact_rows(tagged).select("category").distinct().collect()}

@@ -16,9 +16,8 @@ from gondola.operators.measures import bounded_measure, panel_measures, panel_vo
 from gondola.operators.numbering import run_row_ids
 from gondola.operators.replace import rejects_by_reason
 from gondola.operators.review import panel_product_queue, panel_store_queue
-from gondola.operators.schema import column_or_null, computed, put_first, quoted
+from gondola.operators.schema import SOURCE_ORDER, column_or_null, computed, on_texts, put_first, quoted
 from gondola.session import written
-from gondola.sources.feeds import SOURCE_ORDER
 
 # Columns that are cleaned, fact names of feed columns, the fact layout.
 CLEANED = (
@@ -45,12 +44,7 @@ def prepare(feed: DataFrame, name_mapping: DataFrame | None = None) -> DataFrame
 
     Narrow work in one stage, but for the lookup of corrected store names.
     """
-    feed = feed.select(
-        *[
-            missing_to_null(F.col(quoted(c))).alias(c) if t == "string" and c not in SOURCE_ORDER else F.col(quoted(c))
-            for c, t in feed.dtypes
-        ]
-    )
+    feed = on_texts(feed, missing_to_null)
     feed = feed.withColumns({c: upper_trim(F.col(quoted(c))) for c in CLEANED if c in feed.columns})
     if "mes de fecha" in feed.columns:
         feed = feed.withColumn("mes de fecha", month_number(F.col("`mes de fecha`")))
@@ -90,9 +84,11 @@ def fact_candidates(prepared: DataFrame, columns: Sequence[str] = ()) -> DataFra
     return named.select(*[quoted(c) for c in columns]) if columns else named
 
 
-def with_ids(candidates: DataFrame, run_stamp: str, order_by: Sequence[str] = SOURCE_ORDER) -> DataFrame:
+def with_ids(
+    candidates: DataFrame, run_stamp: str, order_by: Sequence[str] = SOURCE_ORDER, stored: bool = False
+) -> DataFrame:
     """Add ``Id`` to the whole batch, before validation, and put the fact's columns first."""
-    return put_first(run_row_ids(candidates, order_by, run_stamp), FIRST_COLUMNS)
+    return put_first(run_row_ids(candidates, order_by, run_stamp, stored), FIRST_COLUMNS)
 
 
 def flag_rows(rows: DataFrame, stores: DataFrame, products: DataFrame) -> DataFrame:
@@ -145,7 +141,7 @@ def run(
     Returns the loaded rows.
     """
     prepared = written(prepare(feed, name_mapping))
-    flagged = flag_rows(with_ids(fact_candidates(prepared), run_stamp), stores, products)
+    flagged = flag_rows(with_ids(fact_candidates(prepared), run_stamp, stored=True), stores, products)
     loaded = fact(flagged)
     if not dry_run:
         matched = flagged.filter(~F.col("missing_product") & ~F.col("missing_store"))

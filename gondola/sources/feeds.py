@@ -7,13 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.operators.schema import clean_cells, normalize_headers, quoted, require_columns
+from gondola.operators.schema import SOURCE_ORDER, clean_cells, normalize_headers, quoted, require_columns
 
 SEPARATORS = (",", ";", "\t", "|")
 
-# Where a feed row came from; together a total order over all rows read.
-SOURCE_ORDER = ("source_file", "source_block", "source_row")
-
 
 def detect_dialects(spark: SparkSession, paths: Sequence[str], style: str = "chain") -> DataFrame:
     """One row per file: path, encoding, separator, whether records span lines, raw header.

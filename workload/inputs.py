@@ -223,10 +223,19 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    if name != "lineitem":
-        return table
-    place = (F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row"))
-    return table.select("*", *place)
+    if name == "lineitem":
+        place = (F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.row_index").alias("source_row"))
+        table = table.select("*", *place)
+    return spread(table) if name in ("lineitem", "orders", "events") else table
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """Rows over all cores where the files are too few or small to be split that far.
+
+    Large tables have more splits than cores and are left as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
 
 
 def ctes(*names: str) -> str:
