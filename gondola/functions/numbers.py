@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from gondola.functions.text import MISSING_TEXTS, SPACE_CLASS
+from gondola.functions.text import MISSING_TEXTS, WHITESPACE
 
 # A finite decimal number. try_cast alone would also take "1d", "1f" and "Infinity".
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -35,12 +35,13 @@ def number_or_zero(text: Column) -> Column:
     both = text.contains(".") & text.contains(",")
     grouped = F.when(both, F.replace(text, F.lit("."), F.lit(""))).otherwise(text)
     digits = F.regexp_replace(F.translate(grouped, ",", "."), r"[^0-9.\-]", "")
-    return F.coalesce(digits.try_cast("double"), F.lit(0.0))
+    # Text without a digit is common and a failing cast is slow.
+    return F.coalesce(F.when(text.rlike("[0-9]"), digits.try_cast("double")), F.lit(0.0))
 
 
 def thousands_number(text: Column) -> Column:
     """Spanish number for amounts: every dot groups thousands, ``1.500`` is 1500."""
-    value = F.regexp_replace(F.translate(text, ",.", "."), SPACE_CLASS + "+", "")
+    value = F.translate(text, ",." + WHITESPACE, ".")
     return F.when(value.rlike(NUMBER), value.try_cast("double"))
 
 

@@ -7,13 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime SQL settings the joins rely on beyond Spark's defaults: a dimension
-# too big to broadcast is joined by shuffle, and then a hot key is split at run
-# time. "force" allows the split even where it costs one more shuffle.
+# Runtime SQL settings beyond Spark's defaults. A dimension too big to broadcast is
+# joined by shuffle, and then a hot key is split at run time; "force" allows that even
+# where it costs one more shuffle. The JVM does not compile methods over 8000 bytes of
+# code, which text parsing reaches soon; above the limit Spark generates smaller ones.
 RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

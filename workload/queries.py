@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gondola.functions import dates, flags, numbers, retail, text
 from gondola.operators import dedup, dimensions, joins, measures, numbering, promotion, quality, replace, review
-from gondola.operators.schema import clean_cells, keep_enabled, split_by_flag, strip_cells
+from gondola.operators.schema import clean_cells, computed, keep_enabled, split_by_flag, strip_cells
 from gondola.plans import chain, panel
 from gondola.session import tune
 from gondola.sources import selection, tables
@@ -130,7 +130,7 @@ def load_row_index(spark, sf_dir):
 def _sales(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     feed = load(spark, sf_dir, "chain_feed").select(text.strip(F.col("`codigo de barras`")).alias("codigo de barras"), "marca", "fecha")
     products = load(spark, sf_dir, "chain_products").withColumn("ean", numbers.barcode_digits(F.col("ean")))
-    fact = feed.select(numbers.integer_key(F.col("`codigo de barras`")).alias("codigo"), "marca", "fecha")
+    fact = computed(feed, {"codigo": numbers.integer_key(F.col("`codigo de barras`"))}).select("codigo", "marca", "fecha")
     dim = products.select(
         numbers.without_leading_zeros(F.col("ean")).alias("ean"), "gramaje", "presentacion", "marca"
     )
