@@ -9,6 +9,8 @@ which Spark can split a hot key of a shuffled join (see ``session.RUNTIME_CONF``
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,6 +21,18 @@ from gondola.operators.schema import quoted, require_columns
 HOW = ("inner", "left", "right", "outer")
 
 
+def _same(left: str, right: str) -> Column:
+    """Equal keys, written so that a hot key can be split.
+
+    The dimension side was just made unique, so it lies partitioned by its key. Spark
+    would join it in place, and then it cannot divide the other side's hot partitions.
+    The second test follows from the first but makes both sides shuffle for the join
+    (only where nothing is broadcast).
+    """
+    a, b = F.col(quoted(left)), F.col(quoted(right))
+    return (a == b) & (F.octet_length(a.cast("string")) == F.octet_length(b.cast("string")))
+
+
 def _prepared_dimension(fact: DataFrame, dim: DataFrame, dedup_on: str | None) -> DataFrame:
     if dedup_on is not None:
         dim = keep_first(dim, [dedup_on])
@@ -57,7 +71,7 @@ def _joined(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str, indicator: str | None
 ) -> DataFrame:
     seen = dim.withColumn("_seen", F.lit(True))
-    condition = F.col(quoted(fact_key)) == F.col(quoted(dim_key))
+    condition = _same(fact_key, dim_key)
     side = F.when(F.col("_seen"), F.lit("both")).otherwise(F.lit("left_only"))
     joined = fact.join(seen, condition, "left" if how in ("left", "outer") else "inner")
     joined = joined.withColumn(indicator, side) if indicator else joined
@@ -68,7 +82,7 @@ def _joined(
     # right or full outer join can neither broadcast the dimension nor split a hot
     # fact key; the distinct keys are combined before they are shuffled.
     used = distinct_keys(fact, fact_key).withColumnRenamed(fact_key, "_used")
-    unused = dim.join(used, F.col(quoted(dim_key)) == F.col("_used"), "left_anti")
+    unused = dim.join(used, _same(dim_key, "_used"), "left_anti")
     unused = unused.withColumn(indicator, F.lit("right_only")) if indicator else unused
     return joined.unionByName(unused, allowMissingColumns=True)
 
@@ -87,7 +101,7 @@ def unmatched_rows(
 def anti_by_key(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """All fact rows whose key the dimension lacks; rows without a key are kept."""
     known = distinct_keys(dim, dim_key).withColumnRenamed(dim_key, "_known")
-    return fact.join(known, F.col(quoted(fact_key)) == F.col("_known"), "left_anti")
+    return fact.join(known, _same(fact_key, "_known"), "left_anti")
 
 
 def with_key_flag(
@@ -97,7 +111,7 @@ def with_key_flag(
     other columns. The dimension must be unique on the key unless ``dedup`` is set."""
     dim = keep_first(dim, [dim_key]) if dedup else dim
     known = dim.withColumnRenamed(dim_key, "_known")
-    joined = df.join(known, F.col(quoted(key)) == F.col("_known"), "left")
+    joined = df.join(known, _same(key, "_known"), "left")
     return joined.withColumn(flag, F.col("_known").isNotNull()).drop("_known")
 
 
@@ -142,7 +156,7 @@ def remap_store_ids(
         F.col("id_sucursal_viejo").alias("_old"),
         F.col("nombre").alias("_name"),
     )
-    joined = stripped.join(renamed, F.col(quoted(id_column)) == F.col("_new"), "left")
+    joined = stripped.join(renamed, _same(id_column, "_new"), "left")
     changed = {"remapped": F.col("_new").isNotNull(), id_column: F.coalesce("_old", F.col(quoted(id_column)))}
     if name_column:
         changed[name_column] = F.coalesce("_name", F.col(quoted(name_column)))
@@ -171,9 +185,11 @@ def correct_store_names(
     )
     key_names = [f"_k{i}" for i in range(len(keys))]
     fixes = keep_first(fixes.dropna(), key_names, ["_fixed"])
+    fixes = fixes.withColumnsRenamed({k: "_m" + k for k in key_names})
     keyed = df.withColumns(
         {f"_k{i}": match_key(F.col(quoted(ours))) for i, ours in enumerate(keys)}
     )
-    joined = keyed.join(fixes, key_names, "left")
+    condition = reduce(and_, [_same(k, "_m" + k) for k in key_names])
+    joined = keyed.join(fixes, condition, "left")
     fixed = strip(F.coalesce("_fixed", F.col(quoted(name_column))))
     return joined.withColumn(name_column, fixed).select(*[F.col(quoted(c)) for c in df.columns])

@@ -41,7 +41,9 @@ def running_total(
     parts = placed.groupBy(*keys, "_part").agg(
         F.sum(amount).alias("_sum"), F.min("_place").alias("_first")
     )
-    # One row per partition and group: small however large the groups are.
+    # One row per partition and group, at most partitions + groups of them however large
+    # the groups are. Written, so that Spark knows the size when it plans the join below.
+    parts = written(parts)
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.select(
         *keys, "_part", "_first", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start")

@@ -10,6 +10,7 @@ from gondola.functions.numbers import is_bad_number
 from gondola.functions.text import strip
 from gondola.operators.numbering import running_total
 from gondola.operators.schema import quoted
+from gondola.session import written
 
 
 def bad_numbers(df: DataFrame, column: str, context: Sequence[str] = ()) -> DataFrame:
@@ -58,9 +59,15 @@ def numeric_profile(
     matter, and the quartiles (linear between neighbours) come from running counts over
     the distinct values rather than from a sketch or a collected group.
     """
-    keys = [quoted(c) for c in group_by]
     value = F.col(quoted(column))
-    rows = df.filter(value.isNotNull() & ~F.isnan(value)).select(*keys, value.alias("_v"))
+    rows = df.filter(value.isNotNull() & ~F.isnan(value))
+    # One group for the whole column; the column is stored below, so that matching on it
+    # is a join by key like any other.
+    rows = rows if group_by else rows.withColumn("_all", F.lit(0))
+    shown = [quoted(c) for c in group_by]
+    group_by = list(group_by) or ["_all"]
+    keys = [quoted(c) for c in group_by]
+    rows = rows.select(*keys, value.alias("_v"))
     exact = F.col("_v").cast(f"decimal(18,{scale})")
     moments = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
@@ -69,6 +76,7 @@ def numeric_profile(
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
     )
+    moments = written(moments)
     values = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
     upto = running_total(values, ["_v"], group_by, weight="_c", out="_upto")
     ranked = _match(upto, moments.select(*keys, "n"), group_by)
@@ -95,7 +103,7 @@ def numeric_profile(
         return F.col(f"_lo{q}") + (F.col(f"_hi{q}") - F.col(f"_lo{q}")) * share
 
     return _match(moments, quartiles, group_by).select(
-        *keys,
+        *shown,
         F.col("n"),
         mean.alias("mean"),
         F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),

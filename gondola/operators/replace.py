@@ -30,7 +30,8 @@ def replace_month(
 
 def replace_periods_found(existing: DataFrame, new: DataFrame, date_column: str = "Fecha") -> DataFrame:
     """The table with every month that occurs in ``new`` replaced by ``new``."""
-    months = distinct_periods(new, date_column)
+    # Months are bounded by the calendar, so this side always fits in a broadcast.
+    months = F.broadcast(distinct_periods(new, date_column))
     kept = existing.join(months, month_start(F.col(quoted(date_column))) == F.col("period"), "left_anti")
     return kept.unionByName(new)
 

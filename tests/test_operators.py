@@ -113,7 +113,7 @@ def test_hot_key_of_a_shuffled_join_is_split(spark):
         found = {r["side"]: r["count"] for r in counted.collect()}
         assert found["both"] == sum(1 for i in range(60000) if i % 3 == 0 or i < 30000)
         plan = counted._jdf.queryExecution().executedPlan().toString()
-        assert "skew=true" in plan
+        assert "skew=true" in plan and "skewed" in plan
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
