@@ -51,14 +51,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def numeric_profile(
-    df: DataFrame, column: str, group_by: Sequence[str] = (), scale: int = 4
+    df: DataFrame, column: str, group_by: Sequence[str] = (), scale: int = 2
 ) -> DataFrame:
     """count, mean, std, min, quartiles and max of a numeric column per group.
 
-    Exact: sums run on decimals of ``scale`` places, so the order of the rows does not
-    matter, and the quartiles (linear between neighbours) come from running counts over
-    the distinct values rather than from a sketch or a collected group.
+    One pass over the rows counts the distinct values; all else comes from those. Sums
+    run on decimals of ``scale`` places (3 at most), so the order of the rows does not
+    matter, and the quartiles (linear between neighbours) come from running counts rather
+    than from a sketch or a collected group.
     """
+    if scale > 3:
+        raise ValueError("squares of more than 3 decimal places do not stay exact")
     value = F.col(quoted(column))
     rows = df.filter(value.isNotNull() & ~F.isnan(value))
     # One group for the whole column; the column is stored below, so that matching on it
@@ -68,17 +71,17 @@ def numeric_profile(
     group_by = list(group_by) or ["_all"]
     keys = [quoted(c) for c in group_by]
     rows = rows.select(*keys, value.alias("_v"))
+    values = written(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
     exact = F.col("_v").cast(f"decimal(18,{scale})")
-    moments = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(exact).cast("double").alias("_s"),
-        F.sum((exact * exact).cast(f"decimal(38,{2 * scale})")).cast("double").alias("_q"),
+    moments = values.groupBy(*keys).agg(
+        F.sum("_c").alias("n"),
+        F.sum(exact * F.col("_c")).cast("double").alias("_s"),
+        F.sum(exact * exact * F.col("_c")).cast("double").alias("_q"),
         F.min("_v").alias("min"),
         F.max("_v").alias("max"),
     )
     moments = written(moments)
-    values = rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    upto = running_total(values, ["_v"], group_by, weight="_c", out="_upto")
+    upto = running_total(values, ["_v"], group_by, weight="_c", out="_upto", stored=True)
     ranked = _match(upto, moments.select(*keys, "n"), group_by)
 
     # Position q*(n-1), counted from 0, lies between two neighbouring ranks. A value
