@@ -11,6 +11,8 @@ from gondola.functions.text import MISSING_TEXTS, WHITESPACE
 
 # A finite decimal number. try_cast alone would also take "1d", "1f" and "Infinity".
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# Only what a number may contain, one digit at least: for these texts try_cast is exact.
+NUMBER_MARKS = r"(?U)^[.,+\-eE\s\x1c-\x1f]*[0-9][0-9.,+\-eE\s\x1c-\x1f]*$"
 SCIENTIFIC = r"^(\d+)(?:\.(\d+))?[eE]([+-]?\d{1,4})$"
 INTEGER = r"^\d+(\.0)?$"
 
@@ -42,7 +44,7 @@ def number_or_zero(text: Column) -> Column:
 def thousands_number(text: Column) -> Column:
     """Spanish number for amounts: every dot groups thousands, ``1.500`` is 1500."""
     value = F.translate(text, ",." + WHITESPACE, ".")
-    return F.when(value.rlike(NUMBER), value.try_cast("double"))
+    return F.when(text.rlike(NUMBER_MARKS), value.try_cast("double"))
 
 
 def whole_number(text: Column) -> Column:

@@ -160,7 +160,7 @@ from customer where c_mktsegment = 'BUILDING'""",
     "store_ids": """
 select ' ' || cast(s_suppkey as string) as `ID sucursal nuevo`,
   case when s_acctbal < 0 then 'nan' else 'H' || cast(s_suppkey as string) || ' ' end as `Id Sucursal Viejo`,
-  case when s_nationkey > 12 then '' else 'Farmacia ' || s_name end as ` nombre`,
+  case when s_nationkey > 12 then '' else 'Local ' || s_name end as ` nombre`,
   s_suppkey as orden
 from supplier where s_nationkey <= 18
 union all

@@ -509,7 +509,7 @@ def periods_in_batch(spark, sf_dir):
 
 def _file_query(name: str, listing: str, candidates: Callable, loose: bool, by: tuple[str, ...]) -> Query:
     def one(spark, sf_dir):
-        # Equal paths of one listing stand for versions of a file; the key tells them apart.
+        # A path listed more than once counts with its latest time.
         files = load(spark, sf_dir, listing).groupBy("path").agg(F.max("modified").alias("modified"))
         best = selection.best_files(candidates(selection.with_names(files), loose), *by)
         return best.select(*by, "period", "path", "modified", "quality")
