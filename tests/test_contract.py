@@ -19,6 +19,14 @@ def test_query_matches_sql(spark, duck, name):
     assert difference(contract.queries()[name](spark, SF_DIR), duck, SQL[name]) is None
 
 
+@pytest.mark.parametrize("name", ["chain_rejects", "validated_join_outer", "store_name_fix", "numeric_profile", "panel_store_queue"])
+def test_plans_have_no_cross_join_and_no_python(spark, plan_of, name):
+    plan = plan_of(contract.queries()[name](spark, SF_DIR))
+    assert "BroadcastHashJoin" in plan
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Exchange SinglePartition"):
+        assert node not in plan
+
+
 def test_every_query_has_sql():
     assert set(SQL) == set(contract.queries())
 
