@@ -1,0 +1 @@
+"""The session comes from the conftest one folder up."""
