@@ -33,5 +33,22 @@ with lowered as (
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
     sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from lowered left join words_hit using (row) left join items_hit using (row)
+""",
+    "op6_search": r"""
+with v as (
+    select vec_id, min(x) as x from (
+        select vec_id, list_transform(embedding, lambda e: cast(floor(64 * cast(e as double)) as bigint)) as x
+        from embeddings
+        where vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0 and len(embedding) > 0
+    ) group by vec_id
+), scored as (
+    select q.vec_id as query_id, c.vec_id,
+        cast(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) as bigint) as score
+    from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+where rank <= 20
 """,
 }
