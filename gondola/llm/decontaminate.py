@@ -101,8 +101,9 @@ def exact_matches(index: DataFrame, probed: DataFrame) -> DataFrame:
         F.count("*").alias("needed"), F.max(F.when(F.col("rank") == 0, F.col("at"))).alias("lead_at"),
         F.max(F.when(F.col("rank") == 0, F.col("term"))).alias("term"),
     )
-    met = aligned(index, probed).filter("start >= 0").distinct().groupBy("window", "doc_id", "key", "start").count()
-    found = met.join(needed, "window").filter("count = needed")
+    seen = F.bit_or(F.expr("shiftleft(1, rank)")).alias("seen")
+    met = aligned(index, probed).filter("start >= 0").groupBy("window", "doc_id", "key", "start").agg(seen)
+    found = met.join(needed, "window").filter(F.bit_count("seen") == F.col("needed"))
     found = written(found.select(
         "window", "terms", "term", F.col("doc_id").alias("d"), F.col("key").alias("k"), "start",
         (F.col("start") + F.col("lead_at")).alias("at"),

@@ -31,7 +31,7 @@ HELD_OUT_MODULUS, HELD_OUT = 5, 0
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500
 DECAY = 0.75
 #: Letter runs picked for toxic words, common clean words beside them, and where landmarks are cut.
-PICKS, BENIGN_LANDMARKS, LANDMARK_LETTERS = 14, 4, 8
+PICKS, BENIGN_LANDMARKS, LANDMARK_LETTERS = 16, 4, 8
 #: The most common clean words, among which those most like a pick are sought.
 NEAR_WORDS = 20_000
 #: Lengths of the letter runs that may become landmarks.
@@ -191,7 +191,10 @@ def choose_landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
         if gain[best] < 1:
             break
         chosen.append(best)
-        weight[list(usable.pop(best))] *= 0.5
+        weight[list(usable[best])] *= 0.5
+        # Runs that share letters with the pick would only pick the same words again.
+        parts = [best[i: i + 3] for i in range(len(best) - 2)]
+        usable = {g: docs for g, docs in usable.items() if not any(p in g for p in parts)}
     common = sorted(in_clean, key=lambda w: (-in_clean[w], w))
     marks = dict.fromkeys(chosen)
     if chosen:
