@@ -13,7 +13,9 @@ from gondola.functions.text import MISSING_TEXTS, WHITESPACE
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 # Only what a number may contain, one digit at least: for these texts try_cast is exact.
 NUMBER_MARKS = r"(?U)^[.,+\-eE\s\x1c-\x1f]*[0-9][0-9.,+\-eE\s\x1c-\x1f]*$"
-SCIENTIFIC = r"^(\d+)(?:\.(\d+))?[eE]([+-]?\d{1,4})$"
+SCIENTIFIC = r"^(\d+)(?:\.(\d+))?[eE]([+-]?\d+)$"
+#: Longest integer that scientific notation may stand for; a longer one is no code.
+MOST_DIGITS = 10_000
 INTEGER = r"^\d+(\.0)?$"
 
 
@@ -53,16 +55,18 @@ def whole_number(text: Column) -> Column:
 
 
 def _expanded(text: Column) -> Column:
-    """Exact integer of scientific notation, fraction cut, for any exponent in range.
+    """Exact integer of scientific notation, fraction cut; NULL beyond MOST_DIGITS digits.
 
     Moves the decimal point in the digit string, so no precision is lost.
     """
     whole = F.regexp_extract(text, SCIENTIFIC, 1)
     fraction = F.regexp_extract(text, SCIENTIFIC, 2)
-    exponent = F.regexp_extract(text, SCIENTIFIC, 3).try_cast("int")
-    length = F.length(whole) + exponent
+    sign = F.when(F.regexp_extract(text, SCIENTIFIC, 3).startswith("-"), -MOST_DIGITS * 2).otherwise(MOST_DIGITS * 2)
+    # An exponent of more digits than a long holds is as good as a very large one.
+    exponent = F.coalesce(F.regexp_extract(text, SCIENTIFIC, 3).try_cast("bigint"), sign.cast("bigint"))
+    length = F.length(whole) + F.greatest(F.least(exponent, F.lit(1 << 40)), F.lit(-(1 << 40)))
     digits = F.concat(whole, fraction)
-    moved = F.when(length <= 0, F.lit("0")).otherwise(F.rpad(digits, length, "0"))
+    moved = F.when(length <= 0, F.lit("0")).when(length <= MOST_DIGITS, F.rpad(digits, length.cast("int"), "0"))
     return without_leading_zeros(moved)
 
 

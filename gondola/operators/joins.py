@@ -13,6 +13,7 @@ from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, DecimalType, DoubleType, FractionalType, LongType, NumericType, StringType
 
 from gondola.functions.text import match_key, strip
 from gondola.operators.dedup import distinct_keys, keep_first
@@ -21,15 +22,45 @@ from gondola.operators.schema import quoted, require_columns
 HOW = ("inner", "left", "right", "outer")
 
 
-def _same(left: str, right: str) -> Column:
+#: Digits after the point that a number in text is compared with.
+TEXT_SCALE = 10
+
+
+def _comparable(left: DataType, right: DataType) -> DataType | None:
+    """The type in which values of two types are compared, None for the one they share."""
+    if left == right:
+        return None
+    types = (left, right)
+    if any(isinstance(t, StringType) for t in types) and any(isinstance(t, NumericType) for t in types):
+        return DecimalType(38, TEXT_SCALE)
+    if not all(isinstance(t, NumericType) for t in types):
+        raise ValueError(f"keys of types {left.simpleString()} and {right.simpleString()} do not compare")
+    if any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in types):
+        return DoubleType()
+    if any(isinstance(t, DecimalType) for t in types):
+        return DecimalType(38, max(t.scale for t in types if isinstance(t, DecimalType)))
+    return LongType()
+
+
+def _same(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> Column:
     """Equal keys, written so that a hot key can be split.
 
+    Keys of two types are compared in one: whole numbers as longs, decimals at the larger
+    scale, floating-point numbers as doubles, number text by its value (text that is no
+    number equals nothing). Other mixtures raise.
+
     The dimension side was just made unique, so it lies partitioned by its key. Spark
     would join it in place, and then it cannot divide the other side's hot partitions.
     The second test follows from the first but makes both sides shuffle for the join
     (only where nothing is broadcast).
     """
-    a, b = F.col(quoted(left)), F.col(quoted(right))
+    types = [df.select(F.col(quoted(k))).schema[0].dataType for df, k in ((left, left_key), (right, right_key))]
+    common = _comparable(*types)
+    a, b = F.col(quoted(left_key)), F.col(quoted(right_key))
+    if common is not None:
+        a, b = a.try_cast(common), b.try_cast(common)
+    if isinstance(common or types[0], FractionalType) and not isinstance(common or types[0], DecimalType):
+        a, b = a + 0.0, b + 0.0  # 0 and -0 are equal but spelled differently
     return (a == b) & (F.octet_length(a.cast("string")) == F.octet_length(b.cast("string")))
 
 
@@ -71,7 +102,7 @@ def _joined(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str, indicator: str | None
 ) -> DataFrame:
     seen = dim.withColumn("_seen", F.lit(True))
-    condition = _same(fact_key, dim_key)
+    condition = _same(fact, fact_key, seen, dim_key)
     side = F.when(F.col("_seen"), F.lit("both")).otherwise(F.lit("left_only"))
     joined = fact.join(seen, condition, "left" if how in ("left", "outer") else "inner")
     joined = joined.withColumn(indicator, side) if indicator else joined
@@ -82,7 +113,7 @@ def _joined(
     # right or full outer join can neither broadcast the dimension nor split a hot
     # fact key; the distinct keys are combined before they are shuffled.
     used = distinct_keys(fact, fact_key).withColumnRenamed(fact_key, "_used")
-    unused = dim.join(used, _same(dim_key, "_used"), "left_anti")
+    unused = dim.join(used, _same(dim, dim_key, used, "_used"), "left_anti")
     unused = unused.withColumn(indicator, F.lit("right_only")) if indicator else unused
     return joined.unionByName(unused, allowMissingColumns=True)
 
@@ -101,7 +132,7 @@ def unmatched_rows(
 def anti_by_key(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """All fact rows whose key the dimension lacks; rows without a key are kept."""
     known = distinct_keys(dim, dim_key).withColumnRenamed(dim_key, "_known")
-    return fact.join(known, _same(fact_key, "_known"), "left_anti")
+    return fact.join(known, _same(fact, fact_key, known, "_known"), "left_anti")
 
 
 def with_key_flag(
@@ -111,7 +142,7 @@ def with_key_flag(
     other columns. The dimension must be unique on the key unless ``dedup`` is set."""
     dim = keep_first(dim, [dim_key]) if dedup else dim
     known = dim.withColumnRenamed(dim_key, "_known")
-    joined = df.join(known, _same(key, "_known"), "left")
+    joined = df.join(known, _same(df, key, known, "_known"), "left")
     return joined.withColumn(flag, F.col("_known").isNotNull()).drop("_known")
 
 
@@ -156,7 +187,7 @@ def remap_store_ids(
         F.col("id_sucursal_viejo").alias("_old"),
         F.col("nombre").alias("_name"),
     )
-    joined = stripped.join(renamed, _same(id_column, "_new"), "left")
+    joined = stripped.join(renamed, _same(stripped, id_column, renamed, "_new"), "left")
     changed = {"remapped": F.col("_new").isNotNull(), id_column: F.coalesce("_old", F.col(quoted(id_column)))}
     if name_column:
         changed[name_column] = F.coalesce("_name", F.col(quoted(name_column)))
@@ -189,7 +220,7 @@ def correct_store_names(
     keyed = df.withColumns(
         {f"_k{i}": match_key(F.col(quoted(ours))) for i, ours in enumerate(keys)}
     )
-    condition = reduce(and_, [_same(k, "_m" + k) for k in key_names])
+    condition = reduce(and_, [_same(keyed, k, fixes, "_m" + k) for k in key_names])
     joined = keyed.join(fixes, condition, "left")
     fixed = strip(F.coalesce("_fixed", F.col(quoted(name_column))))
     return joined.withColumn(name_column, fixed).select(*[F.col(quoted(c)) for c in df.columns])

@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from gondola.functions.flags import approved, find_flag_column
 from gondola.functions.text import safe_text
+from gondola.operators import sinks
 from gondola.operators.dimensions import absent_rows
 from gondola.operators.review import FLAG
 from gondola.operators.schema import ensure_layout, quoted
+from gondola.session import written
+from gondola.sources.tables import read_dimension, read_queue
 
 # Queue column -> dimension column of panel stores.
 PANEL_STORE_RENAMES = {
@@ -67,3 +70,40 @@ def promote(
     rows = rows.withColumns({c: safe_text(F.col(quoted(c))) for c in texts}) if texts else rows
     rows = ensure_layout(rows, dim.schema)
     return Promotion(absent_rows(rows, dim, key, order_by), flagged.filter(~ready))
+
+
+def counted(promoted: Promotion) -> DataFrame:
+    """One row: rows inserted and rows that stay in the queue."""
+    parts = [rows.select(F.lit(part).alias("part")) for rows, part in ((promoted.inserted, "inserted"), (promoted.remaining, "remaining"))]
+    both = parts[0].unionByName(parts[1])
+    return both.agg(*[F.count_if(F.col("part") == part).alias(part) for part in ("inserted", "remaining")])
+
+
+def run(
+    spark: SparkSession,
+    queues: Mapping[str, str],
+    dim_path: str,
+    key: str,
+    mode: str = "lenient",
+    renames: Mapping[str, str] | None = None,
+    order_by: Sequence[str] = (),
+    dry_run: bool = False,
+) -> DataFrame:
+    """Promote several review queues (name -> path) into one dimension table, in the order of their names.
+
+    Each queue sees the dimension with what the queues before it inserted. The new rows are
+    appended and the queue rewritten without them; a queue that fails is left as it is and does
+    not stop the others. Returns queue, inserted, remaining and error (NULL if none).
+    """
+    outcomes = []
+    for name in sorted(queues):
+        try:
+            promoted = promote(read_queue(spark, queues[name]), read_dimension(spark, dim_path), key, mode, renames, order_by)
+            if not dry_run:
+                promoted = Promotion(written(promoted.inserted), written(promoted.remaining))
+                sinks.append_dimension(promoted.inserted, dim_path)
+                sinks.write_queue(promoted.remaining, queues[name])
+            outcomes.append((name, promoted.inserted.count(), promoted.remaining.count(), None))
+        except Exception as error:  # one bad queue must not hold up the others
+            outcomes.append((name, 0, None, f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"))
+    return spark.createDataFrame(outcomes, "queue string, inserted bigint, remaining bigint, error string")

@@ -50,19 +50,14 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(quoted(column)).distinct()
 
 
-def numeric_profile(
-    df: DataFrame, column: str, group_by: Sequence[str] = (), scale: int = 2
-) -> DataFrame:
-    """count, mean, std, min, quartiles and max of a numeric column per group.
-
-    One pass over the rows counts the distinct values; all else comes from those. Sums
-    run on decimals of ``scale`` places (3 at most), so the order of the rows does not
-    matter, and the quartiles (linear between neighbours) come from running counts rather
-    than from a sketch or a collected group.
+def numeric_profile(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
+    """count, mean, std, min, quartiles and max of a numeric column per group, as doubles.
+
+    NULL and NaN do not count. Mean and std are Spark's own, so their last digits may depend
+    on the order of the rows. The quartiles (linear between neighbours) are exact: they come
+    from running counts of the distinct values rather than from a sketch or a collected group.
     """
-    if scale > 3:
-        raise ValueError("squares of more than 3 decimal places do not stay exact")
-    value = F.col(quoted(column))
+    value = F.col(quoted(column)).cast("double")
     rows = df.filter(value.isNotNull() & ~F.isnan(value))
     # One group for the whole column; the column is stored below, so that matching on it
     # is a join by key like any other.
@@ -71,16 +66,11 @@ def numeric_profile(
     group_by = list(group_by) or ["_all"]
     keys = [quoted(c) for c in group_by]
     rows = rows.select(*keys, value.alias("_v"))
+    moments = written(rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"),
+    ))
     values = written(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    exact = F.col("_v").cast(f"decimal(18,{scale})")
-    moments = values.groupBy(*keys).agg(
-        F.sum("_c").alias("n"),
-        F.sum(exact * F.col("_c")).cast("double").alias("_s"),
-        F.sum(exact * exact * F.col("_c")).cast("double").alias("_q"),
-        F.min("_v").alias("min"),
-        F.max("_v").alias("max"),
-    )
-    moments = written(moments)
     upto = running_total(values, ["_v"], group_by, weight="_c", out="_upto", stored=True)
     ranked = _match(upto, moments.select(*keys, "n"), group_by)
 
@@ -98,18 +88,16 @@ def numeric_profile(
             F.max(F.when(holds(high), F.col("_v"))).alias(f"_hi{q}"),
         ]
     quartiles = ranked.groupBy(*keys).agg(*ends)
-    mean = F.col("_s") / F.col("n")
-    variance = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("n")) / (F.col("n") - 1)
-
     def quartile(q: int) -> Column:
         share = F.expr(f"({q} * (n - 1)) % 4") / 4.0
-        return F.col(f"_lo{q}") + (F.col(f"_hi{q}") - F.col(f"_lo{q}")) * share
+        low, high = F.col(f"_lo{q}"), F.col(f"_hi{q}")
+        return F.when(low == high, low).otherwise(low + (high - low) * share)
 
     return _match(moments, quartiles, group_by).select(
         *shown,
         F.col("n"),
-        mean.alias("mean"),
-        F.when(F.col("n") > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("std"),
+        "mean",
+        "std",
         F.col("min"),
         quartile(1).alias("q25"),
         quartile(2).alias("q50"),

@@ -192,6 +192,16 @@ def counters(tagged: DataFrame) -> DataFrame:
     return quality.run_counters(tagged, "codigo de barras", "id_sucursal")
 
 
+def with_missing(counted: DataFrame, wanted: Sequence[str], found: Sequence[str]) -> DataFrame:
+    """Run counters with an ``outcome``: ``loaded``, or ``missing_file`` for a wanted category
+    of which no file was read."""
+    spark = counted.sparkSession
+    absent = spark.createDataFrame([(c,) for c in wanted if c not in found], "category string")
+    numbers = {c: F.lit(0).cast("bigint").alias(c) for c in counted.columns if c != "category"}
+    absent = absent.select(*[numbers.get(c, F.col(c)) for c in counted.columns], F.lit("missing_file").alias("outcome"))
+    return counted.withColumn("outcome", F.lit("loaded")).unionByName(absent)
+
+
 def run(
     feed: DataFrame,
     products: DataFrame,
@@ -201,6 +211,7 @@ def run(
     product_layout: Sequence[str],
     store_layout: Sequence[str],
     categories: Sequence[str] | None = None,
+    found: Sequence[str] | None = None,
     strict: bool = False,
     dry_run: bool = False,
 ) -> DataFrame:
@@ -208,22 +219,32 @@ def run(
 
     ``feed`` comes from ``read_feed`` and ``with_category``. The tagged rows are written
     once and every output reads them from there. The month is replaced for each category
-    of the run, also where no valid row came. Returns the run counters.
+    whose file was read, also where no valid row came; a category without a file keeps what
+    it has. ``found`` names the categories read (``selection.files_for_month``); by default
+    they are those with a row in the feed. Returns the run counters with an ``outcome``, and
+    the products and stores queued over all categories. A dry run writes nothing at all.
     """
-    loaded = list(categories or enabled_categories())
-    tagged = tag_rows(feed, products, stores, month, loaded)
+    wanted = list(categories or enabled_categories())
+    tagged = tag_rows(feed, products, stores, month, wanted)
     if strict:
         require_clean_numbers(tagged)
-    tagged = written(tagged)
+    tagged = tagged if dry_run else written(tagged)
+    counted = counters(tagged)
+    if found is None:
+        found = [r.category for r in tagged.select("category").distinct().collect()]
+    first = ["category_rank", *SOURCE_ORDER]
+    queues = product_queue(tagged, product_layout, first), store_queue(tagged, store_layout, first)
     if not dry_run:
         rows = fact(tagged, stored=True)
         sinks.write_periods_found(rows, f"{out}/fact", "fecha", ("category", "period"))
         filled = {r.category for r in fact_rows(tagged).select("category").distinct().collect()}
-        for category in loaded:
-            if category not in filled:
+        for category in wanted:
+            if category in found and category not in filled:
                 sinks.write_month(rows.limit(0), f"{out}/fact", category, month.strftime("%Y-%m"))
         sinks.write_rejects(rejects(tagged), f"{out}/rejects")
-        first = ["category_rank", *SOURCE_ORDER]
-        sinks.write_queue(product_queue(tagged, product_layout, first), f"{out}/product_queue")
-        sinks.write_queue(store_queue(tagged, store_layout, first), f"{out}/store_queue")
-    return counters(tagged)
+        sinks.write_queue(queues[0], f"{out}/product_queue")
+        sinks.write_queue(queues[1], f"{out}/store_queue")
+    queued = [q.agg(F.count(F.lit(1)).alias(n)) for q, n in zip(queues, ("products_queued", "stores_queued"))]
+    amounts = queued[0].first()[0], queued[1].first()[0]
+    totals = {n: F.lit(v) for n, v in zip(("products_queued", "stores_queued"), amounts)}
+    return with_missing(counted, wanted, found).withColumns(totals)

@@ -138,18 +138,19 @@ def run(
 
     Replaces the months that occur among the valid rows; without any valid row the fact
     stays as it is, but matched rows that all lack a date are an error.
-    Returns the loaded rows.
+    Returns the loaded rows. A dry run writes nothing at all, so its rows have no ``Id`` yet.
     """
+    if dry_run:
+        return fact(flag_rows(fact_candidates(prepare(feed, name_mapping)), stores, products))
     prepared = written(prepare(feed, name_mapping))
     flagged = flag_rows(with_ids(fact_candidates(prepared), run_stamp, stored=True), stores, products)
     loaded = fact(flagged)
-    if not dry_run:
-        matched = flagged.filter(~F.col("missing_product") & ~F.col("missing_store"))
-        if loaded.isEmpty() and not matched.isEmpty():
-            raise ValueError("no matched row has a date, so no month can be replaced")
-        sinks.write_periods_found(loaded, f"{out}/fact", "Fecha")
-        sinks.write_rejects(rejects(flagged), f"{out}/rejects")
-        queue = panel_product_queue(prepared, products, product_layout, constants, SOURCE_ORDER)
-        sinks.write_queue(queue, f"{out}/product_queue")
-        sinks.write_queue(panel_store_queue(prepared, stores, SOURCE_ORDER), f"{out}/store_queue")
+    matched = flagged.filter(~F.col("missing_product") & ~F.col("missing_store"))
+    if loaded.isEmpty() and not matched.isEmpty():
+        raise ValueError("no matched row has a date, so no month can be replaced")
+    sinks.write_periods_found(loaded, f"{out}/fact", "Fecha")
+    sinks.write_rejects(rejects(flagged), f"{out}/rejects")
+    queue = panel_product_queue(prepared, products, product_layout, constants, SOURCE_ORDER)
+    sinks.write_queue(queue, f"{out}/product_queue")
+    sinks.write_queue(panel_store_queue(prepared, stores, SOURCE_ORDER), f"{out}/store_queue")
     return loaded

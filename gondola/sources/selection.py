@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.functions.dates import ANY_MONTH, MONTH_ALIASES, MONTHS, month_number
+from gondola.functions.dates import ANY_MONTH, MONTH_ALIASES, MONTHS, month_number, month_start
 from gondola.operators.dedup import keep_first
 
 # Accepted file names, written without their case.
@@ -130,3 +132,21 @@ def best_files(candidates: DataFrame, *by: str) -> DataFrame:
     """One file per ``by`` and period: best name, then newest, then by path."""
     order = [F.col("quality"), F.col("modified").desc(), F.col("path")]
     return keep_first(candidates, [*by, "period"], order)
+
+
+def files_for_month(best: DataFrame, month: Column, categories: Sequence[str] | None = None) -> DataFrame:
+    """The file that a run loads for each wanted category, or for the feed as a whole: ``period``,
+    ``path`` and ``outcome``, ``found`` or ``missing``.
+
+    ``best`` comes from ``best_files``; ``month`` is any day of the month wanted:
+    ``dates.target_day`` of the run's day for the chain feed, ``dates.previous_month_start``
+    for the panel feed.
+    """
+    spark = best.sparkSession
+    wanted = spark.createDataFrame([(c,) for c in categories or [""]], "category string")
+    wanted = wanted.withColumn("period", month_start(month))
+    known = best if categories else best.withColumn("category", F.lit(""))
+    known = known.select(F.col("category").alias("_c"), F.col("period").alias("_p"), "path")
+    joined = wanted.join(known, (F.col("category") == F.col("_c")) & (F.col("period") == F.col("_p")), "left")
+    outcome = F.when(F.col("path").isNull(), "missing").otherwise("found").alias("outcome")
+    return joined.select(*(["category"] if categories else []), "period", "path", outcome)

@@ -122,19 +122,33 @@ def test_chain_run(spark, chain_inputs):
         assert rows(yerba) == [(1, "111", 2.0, 1.0, 1.0), (2, "111", 3.0, 1.5, 2.0)]
         assert fact.filter("category = 'PANALES'").count() == 2
         assert fact.filter("period = '1998-02'").count() == 1  # other months stay
-        assert fact.filter("category = 'VAPES'").count() == 0  # a month without rows is emptied
+        assert fact.filter("category = 'VAPES'").count() == 1  # no VAPES file was read, so its month stays
     reasons = spark.read.parquet(f"{out}/rejects").filter("category = 'YERBA'").groupBy("reason").count()
     assert dict(rows(reasons)) == {"missing_product": 2, "missing_store": 1, "bad_units": 1, "bad_date": 1, "out_of_period": 1}
     queue = spark.read.parquet(f"{out}/product_queue").select("producto", "ean", "categoria", "para_escritura")
     assert rows(queue) == [("Dos", "222", "YERBA", False)]  # the first category and row win
     assert rows(spark.read.parquet(f"{out}/store_queue").select("id_sucursal_bg", "nombre_local")) == [("99", "Nueva")]
-    assert {r.category: r.rows_in for r in counted.collect()} == {"YERBA": 8, "PANALES": 8}
+    counts = {r.category: (r.rows_in, r.outcome, r.products_queued, r.stores_queued) for r in counted.collect()}
+    loaded, absent = (8, "loaded", 1, 1), (0, "missing_file", 1, 1)
+    assert counts == {"YERBA": loaded, "PANALES": loaded, "VAPES": absent, "CIGARRILLOS": absent}
+
+
+def test_a_file_without_a_valid_row_empties_its_month(spark, chain_inputs):
+    feed, products, stores, out = chain_inputs
+    old = spark.createDataFrame([(1, datetime.date(1998, 3, 9))], "index bigint, fecha date")
+    for category in ("VAPES", "CIGARRILLOS"):
+        sinks.write_month(old, f"{out}/fact", category, "1998-03")
+    chain.run(feed, products, stores, datetime.date(1998, 3, 1), out, *LAYOUTS, found=["YERBA", "PANALES", "VAPES"])
+    left = spark.read.parquet(f"{out}/fact").groupBy("category").count()
+    assert {r.category for r in left.collect()} == {"YERBA", "PANALES", "CIGARRILLOS"}
 
 
 def test_chain_dry_run_writes_nothing_and_strict_stops(spark, chain_inputs):
     feed, products, stores, out = chain_inputs
+    scratch = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
     chain.run(feed, products, stores, datetime.date(1998, 3, 1), out, *LAYOUTS, dry_run=True)
-    assert not os.path.exists(out)
+    assert not os.path.exists(out) and set(os.listdir(scratch)) == before
     with pytest.raises(ValueError, match="dos"):
         chain.run(feed, products, stores, datetime.date(1998, 3, 1), out, *LAYOUTS, strict=True)
 
@@ -225,3 +239,26 @@ def test_scratch_tables_go_to_the_shared_folder(spark):
     kept = written(spark.range(3).toDF("a b"))
     assert rows(kept) == [(0,), (1,), (2,)]
     assert shared_dir(spark).removeprefix("file:") in kept.inputFiles()[0]
+
+
+def test_promotion_of_several_queues(spark, tmp_path):
+    dim_path = str(tmp_path / "dim")
+    sinks.append_dimension(spark.createDataFrame([("1", "uno")], "ean string, producto string"), dim_path)
+    queues = {name: str(tmp_path / name) for name in ("a", "b", "broken")}
+    rows_of = {"a": [("2", "dos", "si"), ("3", "tres", "no")], "b": [("2", "otra", "si"), ("4", "cuatro", "si")]}
+    for name, content in rows_of.items():
+        sinks.write_queue(spark.createDataFrame(content, "ean string, producto string, para_escritura string"), queues[name])
+    first = promotion.run(spark, queues, dim_path, "ean")
+    assert [tuple(r)[:3] for r in first.collect()] == [("a", 1, 1), ("b", 1, 0), ("broken", 0, None)]
+    assert [r.error is None for r in first.collect()] == [True, True, False]
+    again = promotion.run(spark, queues, dim_path, "ean")
+    assert [tuple(r)[:3] for r in again.collect()] == [("a", 0, 1), ("b", 0, 0), ("broken", 0, None)]
+    assert rows(tables.read_dimension(spark, dim_path)) == [("1", "uno"), ("2", "dos"), ("4", "cuatro")]
+
+
+def test_file_for_the_run_day(spark):
+    best = spark.createDataFrame([("YERBA", datetime.date(2025, 5, 1), "/y")], "category string, period date, path string")
+    got = selection.files_for_month(best, F.lit(datetime.date(2025, 5, 31)), ["YERBA", "VAPES"])
+    assert rows(got.select("category", "path", "outcome")) == [("VAPES", None, "missing"), ("YERBA", "/y", "found")]
+    panel_file = selection.files_for_month(best.drop("category"), F.lit(datetime.date(2025, 5, 2)))
+    assert rows(panel_file.select("path", "outcome")) == [("/y", "found")]

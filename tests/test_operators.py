@@ -247,3 +247,32 @@ def test_queue_keys_are_unique_and_not_in_the_dimension(spark):
     assert not queue.filter("para_escritura").count()
     known = tagged.filter("has_product").select(F.col("`codigo de barras`").alias("ean")).distinct()
     assert queue.join(known, "ean").count() == 0
+
+
+@pytest.mark.parametrize("left, right, kinds, joined", [
+    (["5.00", "7.5"], ["5", "8"], ("decimal(10,2)", "decimal(10,0)"), 1),
+    (["007", "x", "7.0"], ["7", "9"], ("string", "int"), 2),
+    (["0", "1"], ["-0", "1"], ("double", "float"), 2),
+    (["5", "6"], ["5", "7"], ("int", "bigint"), 1),
+    (["5", "6"], ["5.5", "6"], ("int", "double"), 1),
+])
+def test_keys_of_different_types(spark, left, right, kinds, joined):
+    fact = spark.createDataFrame([(x,) for x in left], "k string").select(F.col("k").cast(kinds[0]).alias("k"))
+    dim = spark.createDataFrame([(x,) for x in right], "k string").select(F.col("k").cast(kinds[1]).alias("d"))
+    both, unmatched = joins.validated_join(fact, dim, "k", "d")
+    assert both.count() == joined and unmatched.count() == len(left) - joined
+
+
+def test_keys_that_do_not_compare(spark):
+    dates = spark.createDataFrame([(1,)], "i int").select(F.current_date().alias("k"))
+    with pytest.raises(ValueError, match="do not compare"):
+        joins.anti_by_key(dates, spark.createDataFrame([(1,)], "d int"), "k", "d")
+
+
+def test_profile_of_any_doubles(spark):
+    values = [i * 0.0011 for i in range(10)] + [float("nan"), None]
+    got = quality.numeric_profile(spark.createDataFrame([(v,) for v in values], "x double"), "x").first()
+    assert (got.n, got.min, got.max) == (10, 0.0, 9 * 0.0011)
+    assert abs(got["mean"] - 0.00495) < 1e-12 and abs(got["std"] - 0.0033304) < 1e-6 and abs(got.q50 - 0.00495) < 1e-12
+    huge = quality.numeric_profile(spark.createDataFrame([(1e17,), (3e17,), (float("inf"),)], "x double"), "x").first()
+    assert huge.n == 3 and huge.q50 == 3e17 and huge.max == float("inf")

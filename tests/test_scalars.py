@@ -42,8 +42,8 @@ def test_safe_text(spark):
 
 
 def test_barcode_digits(spark):
-    given = ["7.84007800047E+12", "00784.0", "EAN 78-4", "abc", "", None, "1E-5", "12.9E0", "1.5e+30"]
-    expected = ["7840078000470", "00784", "784", None, None, None, "0", "12", "15" + "0" * 29]
+    given = ["7.84007800047E+12", "00784.0", "EAN 78-4", "abc", "", None, "1E-5", "12.9E0", "1.5e+30", "1e12345", "1e-99999999999999999999", "2e99999999999999999999"]
+    expected = ["7840078000470", "00784", "784", None, None, None, "0", "12", "15" + "0" * 29, None, "0", None]
     assert values(spark, numbers.barcode_digits, given) == expected
 
 

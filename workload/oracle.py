@@ -346,12 +346,10 @@ def _profile(group: str) -> str:
     return f"""with {ctes('panel_feed')},
 v as (select upper(trim("categoria sku")) as kind, {or_zero('"ventas en volumen"')} as x from panel_feed),
 m as (
-  select {shown}count(*) as n, cast(sum(cast(x as decimal(18, 2))) as double) as s,
-    cast(sum(cast(cast(x as decimal(18, 2)) * cast(x as decimal(18, 2)) as decimal(38, 4))) as double) as q,
-    min(x) as lo, max(x) as hi, quantile_cont(x, 0.25) as q25, quantile_cont(x, 0.5) as q50, quantile_cont(x, 0.75) as q75
+  select {shown}count(*) as n, avg(x) as mean, stddev_samp(x) as std, min(x) as lo, max(x) as hi, quantile_cont(x, 0.25) as q25, quantile_cont(x, 0.5) as q50, quantile_cont(x, 0.75) as q75
   from v {grouped}
 )
-select {shown}n, round(s / n, 4) as mean, round(sqrt((q - s * s / n) / (n - 1)), 4) as std, lo as min,
+select {shown}n, round(mean, 4) as mean, round(std, 4) as std, lo as min,
   round(q25, 4) as q25, round(q50, 4) as q50, round(q75, 4) as q75, hi as max from m"""
 
 
@@ -418,8 +416,6 @@ def oracle() -> dict[str, str]:
     sql["validated_join_left"] = f"with {_SALES} {_JOINED.format('left')}"
     sql["validated_join_right"] = f"with {_SALES} {_JOINED.format('right')}"
     sql["validated_join_outer"] = f"with {_SALES} {_JOINED.format('full')}"
-    sql["join_provenance"] = f"""with {_SALES} select case when codigo is null or f.here is null then 'right_only' else 'both' end as origin, 0 as digits, 0 as n
-      from (select codigo, true as here from fact) f where false"""
     sql["join_provenance"] = f"""with {_SALES}, j as (
         select codigo, ean, case when d.there is null then 'left_only' when f.here is null then 'right_only' else 'both' end as origin
         from (select codigo, true as here from fact) f full join (select ean, true as there from dim) d on codigo = ean)
@@ -510,10 +506,9 @@ def oracle() -> dict[str, str]:
         "*", 'prepared where "codigo unico pdv" not in (select "Id_Comercial" from panel_stores)', '"codigo unico pdv"', order
     )
     sql["panel_store_queue"] = f"""with {PANEL} select false as para_escritura, "codigo unico pdv" as "Código único PDV",
-      "pdv clasif 3" as "Pdv Clasif 3", cast(null as varchar) as "Pdv RUC", pdv_razon_social as "PDV_RAZON_SOCIAL",
+      "pdv clasif 3" as "Pdv Clasif 3", "pdv ruc" as "Pdv RUC", pdv_razon_social as "PDV_RAZON_SOCIAL",
       "nombre pdv" as "Nombre PDV", "estado pdv" as "Estado PDV", "localidad pdv" as "Localidad PDV", "direccion pdv" as "Dirección PDV"
       from ({first})"""
-    sql["panel_store_queue"] = sql["panel_store_queue"].replace('cast(null as varchar) as "Pdv RUC"', '"pdv ruc" as "Pdv RUC"')
     sql["product_dimension_from_feed"] = f"""with {PANEL} select distinct "codigo barras sku" as "Id_Producto", "categoria sku" as "Categoria_SKU",
       cast(trunc({number(content)}) as bigint) as "Cant_Contenido_SKU", escencia as "Escencia", sabor as "Sabor",
       "prod clasif 3", "prod clasif 4", "prod clasif 5", "prod clasif 6", "prod clasif 7", "prod clasif 10"
@@ -541,6 +536,14 @@ def oracle() -> dict[str, str]:
     flag = approved_text('"Para Escritura"', "lenient")
     sql["queue_remaining"] = f"""with {ctes('queue')} select clave as ean, nombre as producto, codigo as gramaje, event_id, {flag} as para_escritura
       from queue where not ({flag} and {safe('clave')} <> '')"""
+    dims = {"chain_products": ("chain_products", "lenient"), "chain_stores": ("chain_stores", "lenient"),
+            "panel_products": ("panel_products", "strict"), "panel_stores": ("panel_stores", "strict")}
+    sql["promotion_counters"] = " union all ".join(
+        f"""select (select count(*) from ({sql['promote_' + entity]})) - (select count(*) from (with {ctes(dim)} select * from {dim})) as inserted,
+          (select count(*) from (with {ctes('queue')} select * from queue where not ({approved_text('"Para Escritura"', mode)} and {safe('clave')} <> ''))) as remaining,
+          '{entity}' as queue"""
+        for entity, (dim, mode) in dims.items()
+    )
     sql["queue_split"] = f"""with {ctes('queue')} select case when {flag} then 'approved' else 'pending' end as part,
       {flag} as para_escritura, count(*) as n from queue group by all"""
 
@@ -559,6 +562,10 @@ def oracle() -> dict[str, str]:
     sql["newest_panel_file"] = _newest("", _PANEL_QUALITY, "panel_listing")
     sql["newest_panel_file_loose"] = _newest("", _PANEL_LOOSE, "panel_listing")
 
+    sql["files_for_run_day"] = f"""select category, date '1998-03-01' as period, path, case when path is null then 'missing' else 'found' end as outcome
+      from (values ('YERBA'), ('VAPES'), ('PANALES'), ('CIGARRILLOS')) w(category)
+      left join (select category, path from ({sql['newest_chain_file_loose']}) where period = date '1998-03-01') using (category)"""
+
     context = 'category, fecha, id_sucursal, "codigo de barras"'
     sql["bad_numeric_rows"] = f"with {ctes('chain_feed')} " + " union all ".join(
         f"""select {context}, {strip(_col(c))} as bad_value, '{label}' as "column" from chain_feed where {bad_number(_col(c))}"""
@@ -568,5 +575,11 @@ def oracle() -> dict[str, str]:
       where {bad_number('"unidades vendidas"')} group by all order by n desc, bad_value limit 20"""
     sql["value_frequencies"] = f'with {ctes("queue")} select "Para Escritura", count(*) as n from queue group by all'
     sql["numeric_profile"] = _profile("")
+    sql["numeric_profile_fine"] = """with v as (select cast(l_extendedprice * l_discount * l_tax as double) as x from lineitem)
+      select count(*) as n, round(avg(x), 6) as mean, round(stddev_samp(x), 6) as std, round(min(x), 6) as min,
+        round(quantile_cont(x, 0.25), 6) as q25, round(quantile_cont(x, 0.5), 6) as q50, round(quantile_cont(x, 0.75), 6) as q75,
+        round(max(x), 6) as max from v where x is not null"""
+    sql["validated_join_mixed_types"] = """select '00' || cast(l_suppkey as varchar) as store, cast(l_linenumber as integer) as line, s_name
+      from lineitem left join (select * from supplier where s_suppkey % 9 <> 4) on l_suppkey = s_suppkey"""
     sql["numeric_profile_by_category"] = _profile("kind")
     return sql

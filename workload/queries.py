@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from workload.inputs import load
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The columns of the dimension tables, in their order.
 PRODUCT_LAYOUT = (
     "producto", "proveedor", "categoria", "marca", "clasificacion", "presentacion", "variedad", "talle", "segmento",
     "promocion", "ean", "gramaje", "sub_segmento", "sub_marca", "sabor", "especialidad", "sub_categoria",
@@ -52,12 +54,15 @@ def registered() -> dict[str, Query]:
 # ---- chain feed ---------------------------------------------------------------
 
 
-def chain_tagged(spark: SparkSession, sf_dir: str, month: datetime.date | None = None) -> DataFrame:
+def chain_tagged(
+    spark: SparkSession, sf_dir: str, month: datetime.date | None = None, categories: Sequence[str] | None = None
+) -> DataFrame:
     return chain.tag_rows(
         clean_cells(load(spark, sf_dir, "chain_feed")),
         load(spark, sf_dir, "chain_products"),
         load(spark, sf_dir, "chain_stores"),
         month,
+        categories,
     )
 
 
@@ -69,7 +74,8 @@ def chain_fact(spark, sf_dir):
 
 def _category_query(category: str) -> Query:
     def one(spark, sf_dir):
-        return chain.category_fact(chain.fact(chain_tagged(spark, sf_dir), CHAIN_ORDER), category)
+        tagged = chain_tagged(spark, sf_dir, categories=[category])
+        return chain.category_fact(chain.fact(tagged, CHAIN_ORDER), category)
 
     one.__name__ = f"chain_fact_{category.lower()}"
     return query(one)
@@ -456,6 +462,16 @@ for _entity in ("chain_products", "chain_stores", "panel_products", "panel_store
     _promotion_query(_entity)
 
 
+@query
+def promotion_counters(spark, sf_dir):
+    """Rows inserted and rows that stay, per review queue."""
+    parts = [
+        promotion.counted(_promotion(spark, sf_dir, entity)[0]).withColumn("queue", F.lit(entity))
+        for entity in ("chain_products", "chain_stores", "panel_products", "panel_stores")
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def queue_remaining(spark, sf_dir):
     return _promotion(spark, sf_dir, "chain_products")[0].remaining
@@ -524,6 +540,14 @@ _file_query("newest_panel_file", "panel_listing", selection.panel_candidates, Fa
 _file_query("newest_panel_file_loose", "panel_listing", selection.panel_candidates, True, ())
 
 
+@query
+def files_for_run_day(spark, sf_dir):
+    """What a chain run on 1 April 1998 loads: March's best file of each category, or none."""
+    files = load(spark, sf_dir, "file_listing").groupBy("path").agg(F.max("modified").alias("modified"))
+    best = selection.best_files(selection.chain_candidates(selection.with_names(files), True), "category")
+    return selection.files_for_month(best, dates.target_day(F.lit(datetime.date(1998, 4, 1))), chain.enabled_categories())
+
+
 # ---- quality ------------------------------------------------------------------
 
 
@@ -553,7 +577,7 @@ def _profile_query(name: str, group_by: tuple[str, ...]) -> Query:
             F.upper(F.trim("categoria sku")).alias("kind"),
             numbers.number_or_zero(F.col("`ventas en volumen`")).alias("volume"),
         )
-        profile = quality.numeric_profile(values, "volume", group_by, scale=2)
+        profile = quality.numeric_profile(values, "volume", group_by)
         rounded = {c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")}
         return profile.withColumns(rounded)
 
@@ -563,3 +587,22 @@ def _profile_query(name: str, group_by: tuple[str, ...]) -> Query:
 
 _profile_query("numeric_profile", ())
 _profile_query("numeric_profile_by_category", ("kind",))
+
+
+@query
+def numeric_profile_fine(spark, sf_dir):
+    """A profile of values with many decimals: the tax on each line's discount."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    values = lines.select((F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax")).cast("double").alias("x"))
+    rounded = {c: F.round(c, 6) for c in ("mean", "std", "min", "q25", "q50", "q75", "max")}
+    return quality.numeric_profile(values, "x").withColumns(rounded)
+
+
+@query
+def validated_join_mixed_types(spark, sf_dir):
+    """Lines against suppliers where one side's key is text with zeros in front, the other a decimal."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.concat(F.lit("00"), F.col("l_suppkey").cast("string")).alias("store"), F.col("l_linenumber").cast("int").alias("line"))
+    stores = spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_suppkey % 9 <> 4").select(
+        F.col("s_suppkey").cast("decimal(12,2)").alias("id"), "s_name")
+    return joins.validated_join(lines, stores, "store", "id", "left")[0].select("store", "line", "s_name")
