@@ -164,19 +164,21 @@ def choose_landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
     the toxic word that holds it most often and the clean word most like it, for contrast, and
     at last some of the most common clean words.
     """
-    holders: dict[str, set[int]] = {}
+    grams = lambda bag: {w[i: i + n] for w in bag for n in GRAMS for i in range(len(w) - n + 1)}
+    holders: dict[str, list[int]] = {}
     clean, in_toxic, in_clean = Counter(), Counter(), Counter()
-    for number, (bag, label) in enumerate(zip(bags, toxic)):
-        grams = {w[i: i + n] for w in bag for n in GRAMS for i in range(len(w) - n + 1)}
-        if label:
-            in_toxic.update(bag)
-            for gram in grams:
-                holders.setdefault(gram, set()).add(number)
-        else:
-            in_clean.update(bag)
-            clean.update(grams)
+    for number in np.flatnonzero(toxic).tolist():
+        in_toxic.update(bags[number])
+        for gram in grams(bags[number]):
+            holders.setdefault(gram, []).append(number)
+    # A run of one document is never beyond chance; only the others are counted in clean ones.
+    tried = len(holders)
+    holders = {g: docs for g, docs in holders.items() if len(docs) > 1}
+    for number in np.flatnonzero(~toxic).tolist():
+        in_clean.update(bags[number])
+        clean.update(grams(bags[number]) & holders.keys())
     base = float(np.clip(toxic.mean(), 0.01, 0.99))
-    least = np.log(len(holders) + 1) + 2
+    least = np.log(tried + 1) + 2
     usable = {}
     for gram, docs in holders.items():
         number = len(docs) + clean[gram]
@@ -186,12 +188,12 @@ def choose_landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
     chosen: list[str] = []
     weight = np.ones(len(bags))
     while usable and len(chosen) < PICKS:
-        gain = {g: weight[list(docs)].sum() * len(docs) / (len(docs) + clean[g]) for g, docs in usable.items()}
+        gain = {g: weight[docs].sum() * len(docs) / (len(docs) + clean[g]) for g, docs in usable.items()}
         best = max(usable, key=lambda g: (round(gain[g], 6), len(g), g))
         if gain[best] < 1:
             break
         chosen.append(best)
-        weight[list(usable[best])] *= 0.5
+        weight[usable[best]] *= 0.5
         # Runs that share letters with the pick would only pick the same words again.
         parts = [best[i: i + 3] for i in range(len(best) - 2)]
         usable = {g: docs for g, docs in usable.items() if not any(p in g for p in parts)}
@@ -291,7 +293,7 @@ class Model:
             x = np.vstack([mapped[worst], self.map(changed).astype(np.float64) if changed else mapped[:0], mapped[clean]])
             y = np.concatenate([np.ones(len(worst) + len(changed)), -np.ones(len(clean))])
             weight = np.concatenate([
-                np.full(len(worst), 1 / max(1, len(worst))), np.full(len(changed), 0.3 / max(1, len(changed))),
+                np.full(len(worst), 1 / max(1, len(worst))), np.full(len(changed), 1.5 / max(1, len(changed))),
                 np.full(len(clean), 2 / max(1, len(clean)))])
             self.weights = _svm(x, y, weight)
             score = mapped @ self.weights[:-1] + self.weights[-1]
@@ -349,7 +351,8 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     label = np.array([r.label == 1 for r in found], bool)
     if not label.any() or label.all():
         return Model(constant=float(label.mean()) if len(label) else 0.0)
-    return Model().fit([set(r.words.split()) for r in found], label)
+    one: dict[str, str] = {}
+    return Model().fit([{one.setdefault(w, w) for w in r.words.split()} for r in found], label)
 
 
 def scored(model: Model, text: Column, spark) -> Column:
