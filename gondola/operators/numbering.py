@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gondola.operators.schema import quoted
+from gondola.operators.schema import SOURCE_ORDER, quoted
 from gondola.session import written
 
 
@@ -70,15 +70,40 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, condition, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
+def file_order(df: DataFrame, group_by: Sequence[str] = (), out: str = "index") -> DataFrame:
+    """Number the rows 1..n per group in the order in which their files hold them.
+
+    No range sort: a row's number is the count of rows in the file blocks before its own plus
+    its place in that block. A block is what one task reads, so no group of rows is larger;
+    the counts are one row per block. ``df`` should be stored, as it is read twice.
+    """
+    block = [*group_by, *SOURCE_ORDER[:2]]
+    names = [quoted(c) for c in block]
+    counts = written(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
+    before = Window.partitionBy(*[quoted(c) for c in group_by]).orderBy(*SOURCE_ORDER[:2]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*names).orderBy(SOURCE_ORDER[2]))
+    joined = _join_null_safe(df.withColumn("_place", place), starts, block)
+    return joined.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_start") + F.col("_place")).alias(out))
+
+
+def _numbered(
+    df: DataFrame, order_by: Sequence[str], group_by: Sequence[str], out: str, stored: bool
+) -> DataFrame:
+    if tuple(order_by) == SOURCE_ORDER:
+        return file_order(df if stored else written(df), group_by, out)
+    return running_total(df, order_by, group_by, out=out, stored=stored)
+
+
 def load_index(
     df: DataFrame, order_by: Sequence[str], group_by: Sequence[str], stored: bool = False
 ) -> DataFrame:
     """``index`` 1..n within each load (one category and period)."""
-    return running_total(df, order_by, group_by, out="index", stored=stored)
+    return _numbered(df, order_by, group_by, "index", stored)
 
 
 def run_row_ids(df: DataFrame, order_by: Sequence[str], run_stamp: str, stored: bool = False) -> DataFrame:
     """``Id`` = position in the run from 0, an underscore and the run's stamp."""
-    numbered = running_total(df, order_by, out="_position", stored=stored)
+    numbered = _numbered(df, order_by, (), "_position", stored)
     ident = F.concat_ws("_", (F.col("_position") - 1).cast("string"), F.lit(run_stamp))
     return numbered.withColumn("Id", ident).drop("_position")

@@ -276,3 +276,18 @@ def test_profile_of_any_doubles(spark):
     assert abs(got["mean"] - 0.00495) < 1e-12 and abs(got["std"] - 0.0033304) < 1e-6 and abs(got.q50 - 0.00495) < 1e-12
     huge = quality.numeric_profile(spark.createDataFrame([(1e17,), (3e17,), (float("inf"),)], "x double"), "x").first()
     assert huge.n == 3 and huge.q50 == 3e17 and huge.max == float("inf")
+
+
+def test_numbers_in_file_order_without_a_range_sort(spark, plan_of):
+    given = [(g, f, b, r) for f in ("/b", "/a") for b in (0, 100) for r in (7, 3, 5, 40) for g in ("x", "y", None) if (r + b) % 3 or g == "x"]
+    df = spark.createDataFrame(given, "g string, source_file string, source_block bigint, source_row bigint").repartition(5)
+    for group in (["g"], []):
+        got = numbering.load_index(df, schema.SOURCE_ORDER, group, stored=True)
+        want, seen = {}, {}
+        for row in sorted(given, key=lambda x: (x[1], x[2], x[3], str(x[0]))):
+            seen[row[0] if group else 0] = seen.get(row[0] if group else 0, 0) + 1
+            want.setdefault(row if group else row[1:], set()).add(seen[row[0] if group else 0])
+        for r in got.collect():
+            assert r["index"] in want[tuple(r)[:4] if group else tuple(r)[1:4]]
+        assert got.agg(F.count_distinct(*(["g"] if group else []), "index")).first()[0] <= len(given)
+        assert "rangepartitioning" not in plan_of(got)
