@@ -23,7 +23,7 @@ from gondola.operators.review import chain_product_queue, chain_store_queue
 from gondola.operators.schema import (
     SOURCE_ORDER, column_or_null, computed, keep_enabled, quoted, require_columns, strip_cells,
 )
-from gondola.session import written
+from gondola.session import scratch_removed, written
 
 # The categories in load order, whether they are on, and the columns
 # of their fact tables.
@@ -224,8 +224,24 @@ def run(
     they are those with a row in the feed. Returns the run counters with an ``outcome``, and
     the products and stores queued over all categories. A dry run writes nothing at all.
     """
+    spark = feed.sparkSession
     wanted = list(categories or enabled_categories())
-    tagged = tag_rows(feed, products, stores, month, wanted)
+    with scratch_removed(spark):
+        counted = _load(tag_rows(feed, products, stores, month, wanted), month, out, (product_layout, store_layout), wanted, found, strict, dry_run)
+        # A row per category, kept here because the table it was counted from goes.
+        return spark.createDataFrame(counted.collect(), counted.schema)
+
+
+def _load(
+    tagged: DataFrame,
+    month: datetime.date,
+    out: str,
+    layouts: tuple[Sequence[str], Sequence[str]],
+    wanted: Sequence[str],
+    found: Sequence[str] | None,
+    strict: bool,
+    dry_run: bool,
+) -> DataFrame:
     if strict:
         require_clean_numbers(tagged)
     tagged = tagged if dry_run else written(tagged)
@@ -233,7 +249,7 @@ def run(
     if found is None:
         found = [r.category for r in tagged.select("category").distinct().collect()]
     first = ["category_rank", *SOURCE_ORDER]
-    queues = product_queue(tagged, product_layout, first), store_queue(tagged, store_layout, first)
+    queues = product_queue(tagged, layouts[0], first), store_queue(tagged, layouts[1], first)
     if not dry_run:
         rows = fact(tagged, stored=True)
         sinks.write_periods_found(rows, f"{out}/fact", "fecha", ("category", "period"))

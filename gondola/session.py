@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,13 +35,18 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="gondola-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+#: Scratch tables that this process wrote and has not removed.
+_tables: list[str] = []
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the files.
 
@@ -48,5 +55,19 @@ def written(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/gondola-{uuid.uuid4().hex}"
+    _tables.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``written`` wrote inside; nothing read from it may be used after."""
+    start = len(_tables)
+    try:
+        yield
+    finally:
+        for path in _tables[start:]:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        del _tables[start:]

@@ -138,9 +138,12 @@ def test_a_file_without_a_valid_row_empties_its_month(spark, chain_inputs):
     old = spark.createDataFrame([(1, datetime.date(1998, 3, 9))], "index bigint, fecha date")
     for category in ("VAPES", "CIGARRILLOS"):
         sinks.write_month(old, f"{out}/fact", category, "1998-03")
+    scratch = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
     chain.run(feed, products, stores, datetime.date(1998, 3, 1), out, *LAYOUTS, found=["YERBA", "PANALES", "VAPES"])
     left = spark.read.parquet(f"{out}/fact").groupBy("category").count()
     assert {r.category for r in left.collect()} == {"YERBA", "PANALES", "CIGARRILLOS"}
+    assert set(os.listdir(scratch)) == before  # the run's scratch tables are gone
 
 
 def test_chain_dry_run_writes_nothing_and_strict_stops(spark, chain_inputs):
