@@ -153,7 +153,7 @@ class Model:
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Learn from all rows (doc_id, text, lang) that are not held out and have text and lang:
     frequencies from every row, centroids from at most ``sample`` rows of each language."""
-    rows = docs.filter("text is not null and lang is not null and doc_id is not null")
+    rows = docs.select("doc_id", "text", "lang").filter("text is not null and lang is not null and doc_id is not null")
     rows = rows.filter(crc_remainder(F.col("doc_id"), HELD_OUT_MODULUS) != HELD_OUT)
     model = Model(document_frequencies(rows.select("text")))
     langs = [r.lang for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]

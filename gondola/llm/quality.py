@@ -190,7 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     usable = usable.select(F.col("doc_id").alias("id"), F.col("quality").cast("int").alias("label"))
     parts = [usable.filter(F.col("label") == v).orderBy(F.xxhash64("id"), "id").limit(sample) for v in (0, 1)]
     chosen = written(parts[0].unionByName(parts[1]))
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "label", "text")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("id")).select("id", "label", "text")
     found = rows.select("id", "label", pooled_column(model, F.col("text"), spark).alias("x")).orderBy("id", "label")
     found = found.limit(4 * sample).collect()
     y = np.array([r.label for r in found], np.int64)

@@ -345,7 +345,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
         for value, bound in ((1, toxic), (0, clean))
     ]
     sample = written(chosen[0].unionByName(chosen[1]))
-    rows = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
+    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
         F.col("label").cast("int"), F.col("text").cast("string").cast("binary").alias("text"))
     found = rows.mapInArrow(_bag_lines, "label int, words string").orderBy("words", "label").limit(2 * (toxic + clean)).collect()
     label = np.array([r.label == 1 for r in found], bool)
