@@ -6,12 +6,14 @@ outside links, each per block, give the path's ratios. The ratios are smoothed o
 differ little, fused into one product, and weighted by what the names on the path say of the
 content (an article, a menu). Paths at or above a share of the best one are content. The
 article is the deepest element that holds most of the content, and within it every block is
-kept that no name on its path marks as something else.
+kept that no name on its path marks as something else. A mark weighs on the ratio of its
+path; it is lifted where the page's own text, or an article, lies below it.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
 
 import numpy as np
@@ -46,6 +48,18 @@ BOILERPLATE_NAMES = {
     "related", "recommended", "recommendations", "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "pagination", "pager", "toolbar",
     "copyright", "legal", "disclaimer", "search", "searchbox", "hidden", "skip", "outbrain", "taboola", "tags", "toc", "form", "alert", "paywall",
 }
+#: Marks that no amount of text below lifts, and names that mark an element in an article only where its ratio is low.
+FIRM_TAGS = {"nav", "footer", "aside", "menu", "dialog"}
+FIRM_NAMES = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo", "promoted", "promotion", "nav", "navbar", "navigation",
+    "menu", "menubar", "breadcrumb", "breadcrumbs", "footer", "cookie", "cookies", "consent", "gdpr", "newsletter", "subscribe", "subscription", "share", "sharing",
+    "social", "related", "recommended", "recommendations", "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "pagination", "pager",
+    "outbrain", "taboola", "paywall",
+}
+SOFT_NAMES = {"header", "side", "tags", "toc", "notice", "notices", "alert", "search", "legal", "disclaimer", "form", "skip", "toolbar"}
+#: What each mark on a path does to its ratio, and the share of the text from which an element's mark is lifted.
+WEIGHTS = {"=": 0.1, "-": 0.1, "?": 0.4}
+DOMINANT = 0.8
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 CONTENT_TAGS = {"article", "main"}
 CONTENT_NAMES = {"article", "articlebody", "content", "maincontent", "post", "story", "entry", "body", "text", "main"}
@@ -58,25 +72,29 @@ NAME_PARTS = re.compile(r"[a-z]+(?=[A-Z])|[A-Z]?[a-z]+|[A-Z]+")
 SPACE = re.compile(r"\s+")
 
 
-def _standing(tag: str, attributes: str) -> int:
-    """-1 where a tag or its names mark what is no content, 1 where they mark content, else 0."""
-    if tag in BOILERPLATE_TAGS:
-        return -1
+def _standing(tag: str, attributes: str) -> str:
+    """What a tag and its names say: "!" hidden, "=" surely no content, "-" no content, "?" perhaps none, "+" content."""
     names: set[str] = set()
+    firm = tag in FIRM_TAGS
     if attributes:
         for m in ATTRIBUTE.finditer(attributes):
             kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
-                return -1
+                return "!"
             if kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return -1
-            if kind == "role" and value.lower() in BOILERPLATE_ROLES:
-                return -1
+                return "!"
+            firm |= kind == "role" and value.lower() in BOILERPLATE_ROLES
             if kind in ("class", "id"):
                 names.update(p.lower() for word in value.split() for p in NAME_PARTS.findall(word))
-    if names & BOILERPLATE_NAMES and tag not in ("body", "html") and not (tag in CONTENT_TAGS):
-        return -1
-    return 1 if tag in CONTENT_TAGS or names & CONTENT_NAMES and tag not in ("body", "html") else 0
+    marked = names & BOILERPLATE_NAMES if tag not in ("body", "html") and tag not in CONTENT_TAGS else set()
+    content = tag in CONTENT_TAGS or bool(names & CONTENT_NAMES) and tag not in ("body", "html")
+    if firm or marked & FIRM_NAMES:
+        return "="
+    if tag in BOILERPLATE_TAGS or marked - SOFT_NAMES:
+        return "-"
+    if marked:
+        return "" if content else "?"
+    return "+" if content else ""
 
 
 class Block:
@@ -92,7 +110,6 @@ def blocks(page: str) -> list[Block]:
     """The visible text blocks in page order; unclosed and unmatched tags are taken as browsers do."""
     stack: list[tuple[str, int, bool]] = []  # tag, element number, silent below
     names: list[str] = []
-    standing: dict[int, int] = {0: 0}
     found: list[Block] = []
     parts: list[tuple[str, bool]] = []
     links, number, at = 0, 0, 0
@@ -132,7 +149,7 @@ def blocks(page: str) -> list[Block]:
         closing, attributes = m[1] == "/", m[3]
         if tag in INLINE:
             links = max(0, links + (-1 if closing else 1)) if tag == "a" else links
-            if tag in ("a", "span") and not closing and attributes and _standing(tag, attributes) < 0 and not attributes.rstrip().endswith("/"):
+            if tag in ("a", "span") and not closing and attributes and _standing(tag, attributes) in ("!", "=", "-", "?") and not attributes.rstrip().endswith("/"):
                 # An inline element that is marked, such as a share link, is a block of its own.
                 flush()
                 shut = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -178,8 +195,7 @@ def blocks(page: str) -> list[Block]:
         hush = tag in SILENT
         silent += hush
         stack.append((tag, number, hush))
-        names.append(f"{tag}{'-' if sign < 0 else '+' if sign > 0 else ''}")
-        standing[number] = sign
+        names.append(tag + sign)
     flush()
     return found
 
@@ -201,11 +217,52 @@ def path_scores(found: list[Block]) -> dict[tuple[str, ...], float]:
         near = [ratio[q] for q in (*by_parent[p[:-1]], p[:-1], *by_parent.get(p, ())) if q != p and q in ratio]
         smooth = SMOOTHING * own + (1 - SMOOTHING) * (np.mean(near, 0) if near else own)
         free = 1 - sums[p][3] / max(1.0, sums[p][1])
-        weight = 1e-6 if any(n[-1] == "-" for n in p) else 3.0 if any(n[-1] == "+" for n in p) else 1.0
+        weight = 3.0 if any(n[-1] == "+" for n in p) else 1.0
+        weight *= math.prod(WEIGHTS.get(n[-1], 1.0) for n in p)
         scores[p] = float(smooth[0] * (1 + smooth[1]) * free * free * weight)
     return scores
 
 
+def _lift(found: list[Block]) -> None:
+    """Take off marks of elements around most of the page's own text, such as a form or a wrapper named after a sidebar.
+
+    A mark goes where an article or main element below has more text outside links than all
+    blocks without marks, or, unless it is firm, where nearly all of the text is below it.
+    """
+    marks = [[i for i, n in enumerate(b.names) if n[-1] in WEIGHTS] for b in found]
+    free = [max(0, len(b.text) - b.linked) for b in found]
+    while any(marks):
+        plain = sum(size for size, m in zip(free, marks) if not m)
+        below: dict[int, int] = {}
+        above: dict[int, list[int]] = {}
+        articles: dict[int, int] = {}
+        firm = set()
+        for b, m, size in zip(found, marks, free):
+            if not m:
+                continue
+            # Only the innermost mark has this text to itself.
+            below[b.path[m[-1]]] = below.get(b.path[m[-1]], 0) + size
+            if b.names[m[-1]][-1] == "=":
+                firm.add(b.path[m[-1]])
+            for i in range(m[-1] + 1, len(b.names)):
+                if b.names[i] in ("article+", "main+"):
+                    articles[b.path[i]] = articles.get(b.path[i], 0) + size
+                    above[b.path[i]] = [b.path[j] for j in m]
+        best = max(articles, key=lambda e: (articles[e], e), default=None)
+        if best is not None and articles[best] > plain:
+            gone = set(above[best])
+        else:
+            sizes = {e: size for e, size in below.items() if e not in firm and size}
+            top = max(sizes, key=lambda e: (sizes[e], e), default=None)
+            if top is None or sizes[top] < DOMINANT * (sizes[top] + plain):
+                return
+            gone = {top}
+        for at, b in enumerate(found):
+            if any(b.path[i] in gone for i in marks[at]):
+                b.names = tuple(n[:-1] if e in gone else n for e, n in zip(b.path, b.names))
+                marks[at] = [i for i in marks[at] if b.path[i] not in gone]
+
+
 def _holder(content: list[Block], share: float) -> int | None:
     """The deepest element that holds at least ``share`` of the blocks' text."""
     weight: dict[int, int] = {}
@@ -221,15 +278,20 @@ def main_text(page: str, threshold: float = THRESHOLD) -> str:
 
     Content paths score at least ``threshold`` times the best. The deepest element that holds
     most of their text, or the article around it, is taken: there, all that no name marks as
-    something else; without such an element, what stands between the first and last content
+    something else, or whose ratio is high although a name might; without such an element, what stands between the first and last content
     block and is not mostly links.
     """
-    usable = [b for b in blocks(page) if not any(n[-1] == "-" for n in b.names)]
+    found = [b for b in blocks(page) if not any(n[-1] == "!" for n in b.names)]
+    _lift(found)
+    usable = [b for b in found if not any(n[-1] in "=-" for n in b.names)]
     if not usable:
         return ""
     scores = path_scores(usable)
     least = threshold * max(scores.values())
     content = [b for b in usable if scores[b.names] >= least]
+    plain = [b for b in content if not any(n[-1] == "?" for n in b.names)]
+    content = plain or content
+    usable = [b for b in usable if scores[b.names] >= least or not any(n[-1] == "?" for n in b.names)]
     core = _holder(content, 0.6)
     around = next((b for b in content if core in b.path), content[0])
     depth = around.path.index(core) if core in around.path else -1

@@ -29,6 +29,20 @@ def test_pages(body, text):
     assert html.main_text(page(body)) == text
 
 
+@pytest.mark.parametrize("body, text", [
+    (f"<form id=aspnetForm><nav>{NOISE}</nav><article><h1>Head</h1><p>{ARTICLE}</p></article><footer>f</footer></form>", f"Head\n{ARTICLE}"),
+    (f"<div class='content-sidebar-wrap'><main><p>{ARTICLE}</p><p>The.</p></main><div class=sidebar><p>{ARTICLE}</p></div></div>", f"{ARTICLE}\nThe."),
+    (f"<p>Skip.</p><div class='has-sidebar'><div id='search-page'><div class=post><p>{ARTICLE}</p><p>{ARTICLE}</p></div></div></div>", f"{ARTICLE}\n{ARTICLE}"),
+    (f"<form><div><p>{ARTICLE}</p><p>{ARTICLE}</p></div><div class='comments'><p>{ARTICLE}</p></div></form>", f"{ARTICLE}\n{ARTICLE}"),
+    (f"<article><div class='article-header'><h1>Head</h1></div><p>{ARTICLE}</p><p class='side-note'>{ARTICLE}</p><div class=ad>{ARTICLE}</div></article>",
+     f"Head\n{ARTICLE}\n{ARTICLE}"),
+    (f"<div class=post><p>{ARTICLE}</p><p>{ARTICLE}</p></div><section id=comments><article class=comment><p>Me too, yes.</p></article></section>",
+     f"{ARTICLE}\n{ARTICLE}"),
+])
+def test_marked_wrappers(body, text):
+    assert html.main_text(page(body)) == text
+
+
 @pytest.mark.parametrize("broken", ["", " ", "<", "<p", "<p>", "</p></p>", "<!--", "<script>x", "&", "<a href='x", "plain text only", "<![CDATA[x]]>"])
 def test_broken_markup(broken):
     assert html.main_text(broken).strip() in ("", "x", "<", "<p", "&", "plain text only", "<a href='x")
