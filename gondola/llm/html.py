@@ -62,6 +62,7 @@ WEIGHTS = {"=": 0.1, "-": 0.1, "?": 0.4}
 DOMINANT = 0.8
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 CONTENT_TAGS = {"article", "main"}
+FLOW = {"body", "html", "p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "blockquote", "pre", "table", "thead", "tbody", "tr", "td", "th", "figure", "figcaption"}
 CONTENT_NAMES = {"article", "articlebody", "content", "maincontent", "post", "story", "entry", "body", "text", "main"}
 MARKS = frozenset(".,;:!?…。、，；：！？¿¡\"'()«»„“”-–—")
 
@@ -278,8 +279,9 @@ def main_text(page: str, threshold: float = THRESHOLD) -> str:
 
     Content paths score at least ``threshold`` times the best. The deepest element that holds
     most of their text, or the article around it, is taken: there, all that no name marks as
-    something else, or whose ratio is high although a name might; without such an element, what stands between the first and last content
-    block and is not mostly links.
+    something else, or whose ratio is high although a name might; without such an element, all that the
+    deepest element around most of it holds, except lists of links. Where that is the page, other
+    parts of it before and after the content go, but no headings, lists, quotes or tables of its own.
     """
     found = [b for b in blocks(page) if not any(n[-1] == "!" for n in b.names)]
     _lift(found)
@@ -302,10 +304,28 @@ def main_text(page: str, threshold: float = THRESHOLD) -> str:
             return "\n".join(b.text for b in usable if root in b.path)
     root = _holder(content, 0.8)
     inside = [b for b in usable if root is None or root in b.path]
-    places = [i for i, b in enumerate(inside) if scores[b.names] >= least]
-    first = next((i for i in range(max(0, places[0] - 2), places[0]) if inside[i].names[-1][:2] in ("h1", "h2")), places[0])
-    kept = [b for b in inside[first: places[-1] + 1] if b.linked < 0.7 * len(b.text)]
-    return "\n".join(b.text for b in kept)
+    depth = next((b.path.index(root) for b in content if root in b.path), -1)
+    page_level = depth < 0 or content[0].names[depth].rstrip("+") in ("body", "html")
+    lists = _link_lists(inside, depth)
+    if page_level:
+        # The page itself is no container: its other parts go, but not what stands in it as the content does.
+        holding = {e for b in content for e in b.path[depth + 1:]}
+        part = lambda b: next((e for e, n in zip(b.path[depth + 1:], b.names[depth + 1:]) if n.rstrip("+?") not in FLOW), None)
+        own = set(map(id, content))
+        places = [i for i, b in enumerate(inside) if id(b) in own]
+        inside = [b for i, b in enumerate(inside) if places[0] < i < places[-1] or part(b) is None or part(b) in holding]
+    return "\n".join(b.text for b in inside if not lists.intersection(b.path))
+
+
+def _link_lists(inside: list[Block], depth: int) -> set[int]:
+    """Elements below ``depth`` whose blocks, two or more, are all mostly links."""
+    count: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for b in inside:
+        for element in b.path[depth + 1:]:
+            count[element] = count.get(element, 0) + 1
+            linked[element] = linked.get(element, 0) + (b.linked >= 0.7 * len(b.text))
+    return {e for e, n in count.items() if n > 1 and linked[e] == n}
 
 
 def _extracted(pages: list[str]) -> pa.Array:

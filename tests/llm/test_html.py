@@ -43,6 +43,26 @@ def test_marked_wrappers(body, text):
     assert html.main_text(page(body)) == text
 
 
+LONG = f"<p>{ARTICLE}</p><p>{ARTICLE}</p>"
+
+
+@pytest.mark.parametrize("holder", ["<div class=post>{}</div><div><a href=x>Next</a></div>", "<table><tr><td><a href=x>Top</a></td></tr></table><div>{}</div>"])
+@pytest.mark.parametrize("body, text", [
+    (f"{LONG}<h2>End</h2><ul><li>short</li><li>list</li></ul>", f"{ARTICLE}\n{ARTICLE}\nEnd\nshort\nlist"),
+    (f"<h3>Start</h3><p>By me</p><blockquote>So.</blockquote><h4>Sub</h4>{LONG}", f"Start\nBy me\nSo.\nSub\n{ARTICLE}\n{ARTICLE}"),
+    (f"<table><tr><td>a<td>1</table>{LONG}<table><tr><td>b<td>2</table>", f"a\n1\n{ARTICLE}\n{ARTICLE}\nb\n2"),
+    (f"<p>{ARTICLE}</p><p><a href=x>A whole link</a></p><p>{ARTICLE}</p><ul><li><a href=x>one</a><li><a href=x>two</a></ul>",
+     f"{ARTICLE}\nA whole link\n{ARTICLE}"),
+])
+def test_all_of_the_container(holder, body, text):
+    assert html.main_text(page(holder.format(body))) == text
+
+
+def test_page_as_container():
+    assert html.main_text(page(f"<h1>Head</h1><p>By me</p>{LONG}<h2>End</h2><ul><li>short</ul><div>Site</div>")) == (
+        f"Head\nBy me\n{ARTICLE}\n{ARTICLE}\nEnd\nshort")
+
+
 @pytest.mark.parametrize("broken", ["", " ", "<", "<p", "<p>", "</p></p>", "<!--", "<script>x", "&", "<a href='x", "plain text only", "<![CDATA[x]]>"])
 def test_broken_markup(broken):
     assert html.main_text(broken).strip() in ("", "x", "<", "<p", "&", "plain text only", "<a href='x")
