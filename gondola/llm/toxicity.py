@@ -30,8 +30,8 @@ HELD_OUT_MODULUS, HELD_OUT = 5, 0
 #: Bounds of the training sample: labelled rows of each label, taken in the order of a hash of the id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500
 DECAY = 0.75
-#: Letter runs picked for toxic words, common clean words beside them, and where landmarks are cut.
-PICKS, BENIGN_LANDMARKS, LANDMARK_LETTERS = 16, 4, 8
+#: Common clean words beside the letter runs picked for toxic words, and where landmarks are cut.
+BENIGN_LANDMARKS, LANDMARK_LETTERS = 4, 8
 #: The most common clean words, among which those most like a pick are sought.
 NEAR_WORDS = 20_000
 #: Lengths of the letter runs that may become landmarks.
@@ -160,7 +160,9 @@ def _divergence(share: np.ndarray | float, base: float) -> float:
 def choose_landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
     """Letter runs that stand in toxic documents more often than chance allows among so many runs.
 
-    Each pick counts a document the less the more picks it already holds. For each pick come
+    Picking ends when no such run is left that is worth a document: each pick counts a document
+    half as much as the one before, so there are at most two picks for each toxic document of
+    the sample. For each pick come
     the toxic word that holds it most often and the clean word most like it, for contrast, and
     at last some of the most common clean words.
     """
@@ -187,7 +189,7 @@ def choose_landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
             usable[gram] = docs
     chosen: list[str] = []
     weight = np.ones(len(bags))
-    while usable and len(chosen) < PICKS:
+    while usable:
         gain = {g: weight[docs].sum() * len(docs) / (len(docs) + clean[g]) for g, docs in usable.items()}
         best = max(usable, key=lambda g: (round(gain[g], 6), len(g), g))
         if gain[best] < 1:
@@ -277,26 +279,27 @@ class Model:
         words = sorted(set().union(*forms))
         place = {w: i for i, w in enumerate(words)}
         similar = kernel(words, self.landmarks)
-        mapped = (similar @ self.root).astype(np.float64)
+        mapped = similar @ self.root
+        highest, lowest = similar.max(1), similar.min(1)
+        del similar
         members = [np.fromiter((place[w] for w in form), np.int64, len(form)) for form in forms]
         of_clean = [m for m, t in zip(members, toxic) if not t]
         clean = np.unique(np.concatenate([np.array([], np.int64), *of_clean]))
-        near = similar.max(1)
-        near[clean] = similar[clean].min(1) - 1
-        score = near.astype(np.float64)
+        score = highest.astype(np.float64)
+        score[clean] = lowest[clean] - 1
         rng = np.random.default_rng(0)
-        clean = clean[np.argsort(-similar[clean].max(1), kind="stable")][:CLEAN_WORDS]
+        clean = clean[np.argsort(-highest[clean], kind="stable")][:CLEAN_WORDS]
         for _ in range(ROUNDS):
             worst = np.unique([m[np.argmax(score[m])] for m, t in zip(members, toxic) if t and len(m)]).astype(np.int64)
             worst = np.setdiff1d(worst, clean)
             changed = [a for i in worst for a in altered(words[i], rng)]
-            x = np.vstack([mapped[worst], self.map(changed).astype(np.float64) if changed else mapped[:0], mapped[clean]])
+            x = np.vstack([mapped[worst], self.map(changed) if changed else mapped[:0], mapped[clean]]).astype(np.float64)
             y = np.concatenate([np.ones(len(worst) + len(changed)), -np.ones(len(clean))])
             weight = np.concatenate([
                 np.full(len(worst), 1 / max(1, len(worst))), np.full(len(changed), 1.5 / max(1, len(changed))),
                 np.full(len(clean), 2 / max(1, len(clean)))])
             self.weights = _svm(x, y, weight)
-            score = mapped @ self.weights[:-1] + self.weights[-1]
+            score = mapped @ self.weights[:-1].astype(np.float32) + self.weights[-1]
         found = np.array([_features(score[m]) for m in members])
         self.document = _sigmoid_fit(found, toxic.astype(np.float64))
         return self

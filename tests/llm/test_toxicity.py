@@ -72,6 +72,16 @@ def test_gaps_and_inserted_letters(spark, trained):
     assert (model.scores(["", "tare nome", "xx"]) < 0.5).all()
 
 
+def test_sixty_unrelated_insults():
+    rnd = random.Random(5)
+    insults = ["".join(rnd.sample("bcdfghjklmnpqrstvwxz", 6)) for _ in range(60)]
+    clean = lambda: {"".join(rnd.choice(["ta", "re", "no", "li", "me"]) for _ in range(rnd.randint(1, 4))) for _ in range(20)}
+    bags = [clean() | ({insults[i // 2 % 60]} if i % 2 else set()) for i in range(2400)]
+    model = t.Model().fit(bags, np.arange(2400) % 2 == 1)
+    scores = model.scores([" ".join(sorted(clean() | {w})) for w in insults])
+    assert (scores >= 0.5).all() and (model.scores([" ".join(sorted(clean())) for _ in range(60)]) < 0.5).all()
+
+
 def test_odd_rows(spark, trained):
     _, docs, labels = trained
     odd = spark.createDataFrame([(None, "tare"), (1000, None), (1001, ""), (1, "blarg"), (1, "blarg"), (1002, "blarg " * 9000)],
