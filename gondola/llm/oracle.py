@@ -50,5 +50,53 @@ with v as (
 select query_id, cast(rank as integer) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
 where rank <= 20
+""",
+    "op13_filters": r"""
+with counted as (
+    select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+        list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+    from documents
+), label as (
+    select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+    from labels where doc_id is not null group by doc_id
+), failed as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        case when len(w) < 200 then 'A' else '' end
+        || case when 100 * len(list_distinct(w)) < 50 * len(w) then 'B' else '' end
+        || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) then 'C' else '' end
+        || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+        || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as f
+    from counted left join label using (doc_id)
+), mask as (
+    select part, f, count(*) as n, sum(good) as good, sum(toxic) as toxic from failed group by part, f
+), letter as (select unnest(['A', 'B', 'C', 'D', 'E']) as x), orders as (
+    select a.x || b.x || c.x || d.x || e.x as filter_order
+    from letter a join letter b on b.x <> a.x join letter c on c.x not in (a.x, b.x)
+        join letter d on d.x not in (a.x, b.x, c.x) join letter e on e.x not in (a.x, b.x, c.x, d.x)
+), gone as (
+    select part, filter_order, f, n, good, toxic,
+        list_min(list_transform(string_split(f, ''), lambda x: strpos(filter_order, x))) as step
+    from mask join orders on true where f <> ''
+), grid as (
+    select part, filter_order, step, substr(filter_order, step, 1) as x, all_docs
+    from (select part, sum(n) as all_docs from mask group by part) join orders on true
+        join (select unnest([1, 2, 3, 4, 5]) as step) on true
+), failing as (
+    select part, x, sum(n) as failing, sum(case when f = x then n else 0 end) as unique_fails
+    from mask join letter on strpos(f, x) > 0 group by part, x
+), removed as (
+    select part, filter_order, step, sum(n) as n, sum(good) as good, sum(toxic) as toxic
+    from gone group by part, filter_order, step
+), filled as (
+    select g.*, coalesce(n, 0) as n, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+        coalesce(failing, 0) as failing, coalesce(unique_fails, 0) as unique_fails
+    from grid g left join removed using (part, filter_order, step) left join failing using (part, x)
+)
+select part, filter_order, cast(step as integer) as step,
+    cast(all_docs - sum(n) over (partition by part, filter_order order by step) as bigint) as kept,
+    cast(n as bigint) as removed, cast(failing - n as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+    cast(good as bigint) as good_lost, cast(toxic as bigint) as toxic_lost,
+    cast(sum(n) over (partition by part, x) as bigint) as shapley
+from filled
 """,
 }

@@ -7,10 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gondola.llm import byte_pair, decontaminate, html, language, lines, metric_search, quality, secrets, simhash, toxicity
+from gondola.llm import (
+    alignment, byte_pair, decontaminate, filters, html, language, lines, metric_search, quality, secrets, simhash, toxicity,
+)
 from gondola.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+BYTES, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +57,18 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.report(docs, public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
+
+
+def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_html, op2_toxicity, op3_simhash, op4_decontaminate, op5_lines, op6_search, op7_byte_bpe, op8_quality,
-             op9_language, op10_secrets)
+             op9_language, op10_secrets, op12_alignment, op13_filters)
     return {f.__name__: f for f in every}
 
 
