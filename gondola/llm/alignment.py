@@ -28,6 +28,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from gondola.session import written
@@ -36,8 +37,10 @@ from gondola.session import written
 RANGE = 1 << 16
 #: Fragments that one task composes at once.
 FAN = 8
-#: Words that a task remembers, and their characters.
-WORDS, WORD_CHARS = 1 << 18, 1 << 23
+#: Words that a task remembers, and their characters; words that are encoded at once.
+WORDS, WORD_CHARS, TOGETHER = 1 << 18, 1 << 23, 1 << 14
+#: Bytes of texts that are aligned at once.
+BLOCK = 1 << 20
 #: Counted pairs that are broadcast at once.
 COUNTS = 1 << 20
 SHIFT = 20
@@ -45,6 +48,12 @@ SHIFT = 20
 #: come before it; and before a line end that follows a printable character.
 CUT = re.compile(r"(?<![ ▁])(?= [!-~\w])|(?<=[!-~\w])(?=\n)")
 PRINTABLE = re.compile(r"[!-~\w]")
+#: Characters whose classes no Unicode version changes.
+LATIN = re.compile("[\0-\u024f]*")
+
+
+#: Fixed value: the pattern by which byte-level tokenizers of this kind cut a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Tokens(NamedTuple):
@@ -169,6 +178,10 @@ def byte_alphabet() -> dict[str, int]:
     return result | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64, len(ids))
+
+
 def _key(piece: str) -> str:
     """A piece between cuts without its first space, if what is left shows that it had one."""
     return piece[1:] if piece[0] == " " and piece[1:2] not in ("", " ", "\n") else piece
@@ -206,6 +219,9 @@ class Pair:
             and not json.loads(a).get("normalizer") and not any(re.search("[^▁]▁|\n", p) for p in plain)
         )
         self.space = self.b.encode("\n")[:1]
+        self.json = a
+        self.quick = self._quick(SPLIT) if self.apart else None
+        del self.json
         self.clear()
 
     def clear(self) -> None:
@@ -214,17 +230,52 @@ class Pair:
         self.texts: list[str] = []
         #: By word: tokens of A, of B, groups, bytes; zeros where the tokens' bytes are not the word's.
         self.sizes = np.zeros((0, 4), np.int64)
-        self.flat = [_NONE] * 5  # ids and ends of A and of B, and links, of all words
+        self.flat = [*[np.zeros(0, np.int32)] * 4, _NONE]  # ids and ends of A and of B, and links, of all words
         self.starts = np.zeros((1, 3), np.int64)
 
-    def encoded(self, pieces: list[str]) -> list[list[list[int]]]:
-        """Ids of A and of B for texts that begin with a space or a line end."""
-        every_a = [e.ids for e in self.a.encode_batch(pieces, add_special_tokens=False)]
-        every_b = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
-        for i, (piece, ids) in enumerate(zip(pieces, every_b, strict=True)):
-            if piece[0] == "\n" and ids[:1] == self.space:
-                every_b[i] = ids[1:]  # without the space that the model adds
-        return [every_a, every_b]
+    def _ids_a(self, pieces: list[str], raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all pieces one after the other, and how many each piece has."""
+        if self.quick is None:
+            ids = [e.ids for e in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+            return _flat(ids)
+        # Words behind spaces are cut apart by A itself, so they are encoded as one text.
+        together = [i for i, p in enumerate(pieces) if p[0] == " " and PRINTABLE.match(p[1:2]) and LATIN.fullmatch(p)]
+        if len(together) == len(pieces):
+            flat = np.array(self.quick.encode_ordinary("".join(pieces)), np.int64)
+            ends = np.cumsum(self.lengths[0][flat])
+            return flat, np.diff(np.searchsorted(ends, np.cumsum([len(r) for r in raw]), "right"), prepend=0)
+        ids = [self.quick.encode_ordinary(p) if LATIN.fullmatch(p) else self.a.encode(p, add_special_tokens=False).ids for p in pieces]
+        return _flat(ids)
+
+    def _ids_b(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.b.encode([p[1:] if p[0] == " " else p for p in pieces], num_threads=1)
+        for i, (piece, found) in enumerate(zip(pieces, ids, strict=True)):
+            if piece[0] == "\n" and found[:1] == self.space:
+                ids[i] = found[1:]  # without the space that the model adds
+        return _flat(ids)
+
+    def _quick(self, pattern: str):
+        """The same tokenizer over ranks, which is faster, or None where it could differ.
+
+        It merges by the rank of what two tokens give together. That is the merge list's order if
+        ids follow it and the list makes each token, from its own bytes, into itself: a pair
+        that the list cannot merge is then never one that gives a token.
+        """
+        import tiktoken
+
+        model = json.loads(self.json)["model"]
+        vocabulary = model["vocab"]
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [vocabulary.get("".join(p), -1) for p in pairs]
+        single = sorted(i for t, i in vocabulary.items() if len(t) == 1)
+        rest = {i for t, i in vocabulary.items() if len(t) > 1} - set(made)
+        special = {t["id"] for t in json.loads(self.json).get("added_tokens", [])}
+        if made != sorted(set(made)) or single != list(range(256)) or not rest <= special or made[0] != 256:
+            return None
+        if any([x.id for x in self.a.model.tokenize(t)] != [i] for t, i in vocabulary.items() if i not in special):
+            return None
+        ranks = {x: i for i, x in enumerate(self.bytes[0]) if i not in special}
+        return tiktoken.Encoding("quick", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     def words(self, text: str) -> list[str]:
         """A space and ``text``, cut between words; a word stands without its first space where that is clear."""
@@ -242,22 +293,25 @@ class Pair:
     def learn(self, words: set[str]) -> None:
         """Encode and align the words not yet known, all in one stretch of bytes."""
         new = [w for w in words if w not in self.codes]
-        if not new:
-            return
+        odd = [w for w in new if w[0] in " \n" or not (LATIN.fullmatch(w) and PRINTABLE.match(w))]
+        if odd and len(odd) < len(new):
+            self.learn(set(odd))
+            new = [w for w in new if w not in self.codes]
+        for start in range(0, len(new), TOGETHER):
+            self._learn(new[start:start + TOGETHER])
+
+    def _learn(self, new: list[str]) -> None:
         pieces = [w if w[0] in " \n" else " " + w for w in new]
         raw = [p.encode() for p in pieces]
         length = np.fromiter(map(len, raw), np.int64, len(raw))
-        good, ids = np.ones(len(new), bool), self.encoded(pieces)
-        for side, names in zip(ids, self.bytes):
-            joined = [b"".join(map(names.__getitem__, x)) for x in side]
-            good &= np.fromiter(map(bytes.__eq__, joined, raw), bool, len(new))
+        sides = [self._ids_a(pieces, raw), self._ids_b(pieces)]
+        good = np.logical_and(*(self._same(*side, names, raw) for side, names in zip(sides, self.bytes)))
         length[~good] = 0
         tokens, counts = [], []
-        for side, sizes in zip(ids, self.lengths):
-            kept = side if good.all() else [x if g else [] for x, g in zip(side, good.tolist())]
-            flat = np.fromiter(chain.from_iterable(kept), np.int64)
+        for (flat, number), sizes in zip(sides, self.lengths):
+            flat = flat[np.repeat(good, number)]
             tokens += [flat, np.cumsum(sizes[flat])]
-            counts.append(np.fromiter(map(len, kept), np.int64, len(kept)))
+            counts.append(np.where(good, number, 0))
         together, limits = Tokens(*tokens), np.cumsum(length)
         keys, parts = links(together), self.parts(together)
         n_links = np.diff(np.searchsorted(np.union1d(together.a_end, together.b_end), limits, "right"), prepend=0)
@@ -269,10 +323,19 @@ class Pair:
         own = [e - np.repeat(limits - length, n) for e, n in zip((together.a_end, together.b_end), counts)]
         fresh = (together.a, own[0], together.b, own[1], keys)
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = [np.concatenate(x) for x in zip(self.flat, fresh)]
+        self.flat = [np.concatenate([x, y.astype(np.int32)]) for x, y in zip(self.flat[:4], fresh[:4])] + [np.concatenate([self.flat[4], keys])]
         steps = np.cumsum(np.stack([*counts, n_links], 1), 0)
         self.starts = np.concatenate([self.starts, self.starts[-1] + steps])
 
+    def _same(self, flat: np.ndarray, number: np.ndarray, names: list[bytes], raw: list[bytes]) -> np.ndarray:
+        """By piece, whether the tokens' bytes are the piece's."""
+        parts = list(map(names.__getitem__, flat.tolist()))
+        ends = np.cumsum(number).tolist()
+        size = np.cumsum([0, *map(len, parts)])[[0, *ends]]
+        if b"".join(parts) == b"".join(raw) and (size[1:] == np.cumsum([len(r) for r in raw])).all():
+            return np.ones(len(raw), bool)
+        return np.array([b"".join(parts[i:j]) == r for i, j, r in zip([0, *ends], ends, raw)], bool)
+
     def parts(self, tokens: Tokens) -> list[str]:
         """Each id as text with what follows it, in the order of ``groups``."""
         common = np.intersect1d(tokens.a_end, tokens.b_end, assume_unique=True)
@@ -324,7 +387,9 @@ class Pair:
     def _moved(self, code: int, by: int) -> Tokens:
         (a, b, _), (a_end, b_end, _) = self.starts[code], self.starts[code + 1]
         ids_a, ends_a, ids_b, ends_b, _ = self.flat
-        return Tokens(ids_a[a:a_end], ends_a[a:a_end] + by, ids_b[b:b_end], ends_b[b:b_end] + by)
+        a, b = slice(a, a_end), slice(b, b_end)
+        ids_a, ends_a, ids_b, ends_b = (x.astype(np.int64) for x in (ids_a[a], ends_a[a], ids_b[b], ends_b[b]))
+        return Tokens(ids_a, ends_a + by, ids_b, ends_b + by)
 
 
 def ranges(text: str, size: int = RANGE) -> Iterator[tuple[str, int, int, int]]:
@@ -406,8 +471,6 @@ def _result(doc_id, closed: tuple | None) -> dict:
     return {"doc_id": doc_id, "groups": text, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "pairs": pairs, "times": times}
 
 
-#: Texts of a batch that are aligned at once.
-TOGETHER = 256
 
 
 def aligned(docs: DataFrame, a: str, b: str, size: int = RANGE, fan: int = FAN) -> DataFrame:
@@ -429,8 +492,9 @@ def aligned(docs: DataFrame, a: str, b: str, size: int = RANGE, fan: int = FAN)
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(*models.value)
         for batch in batches:
-            for i in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(i, TOGETHER)
+            sizes = np.cumsum(pc.binary_length(batch.column(1).fill_null(b"")).to_numpy(zero_copy_only=False)) // BLOCK
+            cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
+            for part in (batch.slice(i, j - i) for i, j in zip(cuts, cuts[1:]) if j > i):
                 raw = [t or b"" for t in part.column(1).to_pylist()]
                 texts = [t.decode("utf-8", "replace") for t in raw]
                 words = [pair.words(t) if t and t.encode() == r else [] for t, r in zip(texts, raw)]

@@ -50,6 +50,26 @@ with v as (
 select query_id, cast(rank as integer) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
 where rank <= 20
+""",
+    "op11_vector_dedup": r"""
+with recursive v as (
+    select row_number() over () as i, vec_id, label, embedding,
+        list_transform(embedding, lambda e: cast(e as double)) as x
+    from embeddings
+), good as (
+    select i, vec_id, label, x, sqrt(list_sum(list_transform(x, lambda e: e * e))) as norm from v
+    where label is not null and len(list_filter(embedding, lambda e: e is null or not isfinite(e))) = 0
+        and len(list_filter(x, lambda e: e <> 0)) > 0
+), link as (
+    select a.i as a, b.i as b from good a join good b on a.label = b.label and len(a.x) = len(b.x) and a.i <> b.i
+    where list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) / (a.norm * b.norm) >= 0.93
+), reach as (
+    select i, i as j from v union select reach.i, link.b from reach join link on reach.j = link.a
+), component as (
+    select reach.i, min(v.vec_id) as component_id from reach join v on v.i = reach.j group by reach.i
+), degree as (select a as i, count(*) as n_links from link group by a)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id is not distinct from component_id as kept
+from v join component using (i) left join degree using (i)
 """,
     "op13_filters": r"""
 with counted as (

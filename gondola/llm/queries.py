@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gondola.llm import (
     alignment, byte_pair, decontaminate, filters, html, language, lines, metric_search, quality, secrets, simhash, toxicity,
+    vector_dedup,
 )
 from gondola.llm.common import table
 
@@ -57,6 +58,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return alignment.report(docs, public_tokenizers.path(BYTES), public_tokenizers.path(PIECES))
@@ -68,7 +73,7 @@ def op13_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_html, op2_toxicity, op3_simhash, op4_decontaminate, op5_lines, op6_search, op7_byte_bpe, op8_quality,
-             op9_language, op10_secrets, op12_alignment, op13_filters)
+             op9_language, op10_secrets, op11_vector_dedup, op12_alignment, op13_filters)
     return {f.__name__: f for f in every}
 
 

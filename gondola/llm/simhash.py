@@ -237,23 +237,30 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD, split_from: int
 
 
 def one_per_component(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of their component, all columns as they were.
+    """One row of ``docs`` for each component of linked prints, all columns as they were.
 
-    Of rows that repeat a doc_id one stays, the first by text and the other columns. Rows
-    without a doc_id stay.
+    The row with the smallest doc_id stays. Rows under one doc_id are told apart by their prints,
+    so texts that are not linked all stay; rows that repeat a doc_id and a print are one, the
+    first by their JSON. Rows without a doc_id stay and link nothing. NULL and empty texts have
+    print 0 and are linked like any other. No rows give no rows; any column names may clash.
     """
-    kept = near_duplicates(docs, threshold).filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(written(kept), "doc_id", "left_semi").select(docs.columns)
-    return keep_one(named).unionByName(docs.filter("doc_id is null"))
-
-
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One row per doc_id, the smallest by all columns; only repeated ids are grouped."""
-    ids = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    ids = written(ids)
-    if ids.isEmpty():
-        return docs
-    single = docs.join(ids, "doc_id", "left_anti").select(docs.columns)
-    packed = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    repeated = docs.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(packed).alias("row"))
-    return single.unionByName(repeated.select("row.*"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    named = docs.filter("doc_id is not null").select(row)
+    printed = written(named.select(F.col("row.doc_id").alias("doc_id"), fingerprint(F.col("row.text")).alias("print")))
+    unique = written(printed.groupBy("print").agg(F.min("doc_id").alias("doc_id")))
+    parts = components(linked_prints(unique.select(F.col("print").alias("node"), "print"), threshold))
+    grouped = unique.join(parts, F.col("print") == F.col("node"), "left")
+    first = F.min(F.struct("doc_id", "print")).alias("first")
+    kept = written(grouped.groupBy(F.coalesce("component", "print").alias("part")).agg(first).select("first.*"))
+    # Only where an id repeats, its rows' prints decide which of them it is.
+    several = written(printed.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("id")))
+    ids = kept.select(F.col("doc_id").alias("kept_id"))
+    single = named.join(several, F.col("row.doc_id") == F.col("id"), "left_anti")
+    single = single.join(ids, F.col("row.doc_id") == F.col("kept_id"), "left_semi").select("row.*")
+    if not several.isEmpty():
+        rows = named.join(several, F.col("row.doc_id") == F.col("id"), "left_semi").select("row", fingerprint(F.col("row.text")).alias("print"))
+        of_first = (F.col("row.doc_id") == F.col("first_id")) & (F.col("print") == F.col("first_print"))
+        rows = rows.join(kept.toDF("first_id", "first_print"), of_first, "left_semi")
+        rows = rows.groupBy("row.doc_id", "print").agg(F.min_by("row", F.to_json("row")).alias("row"))
+        single = single.unionByName(rows.select("row.*"))
+    return single.unionByName(docs.filter("doc_id is null"))
