@@ -8,12 +8,14 @@ which Spark can split a hot key of a shuffled join (see ``session.RUNTIME_CONF``
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType, DecimalType, DoubleType, FractionalType, LongType, NumericType, StringType
+from pyspark.sql.types import (
+    DataType, DecimalType, DoubleType, FloatType, IntegralType, LongType, NumericType, StringType,
+)
 
 from gondola.functions.text import match_key, strip
 from gondola.operators.dedup import distinct_keys, keep_first
@@ -22,32 +24,62 @@ from gondola.operators.schema import quoted, require_columns
 HOW = ("inner", "left", "right", "outer")
 
 
-#: Digits after the point that a number in text is compared with.
-TEXT_SCALE = 10
+def number_form(value: Column, kind: DataType) -> Column:
+    """A number's sign, digits and exponent as text: equal for equal numbers of any type or spelling.
 
-
-def _comparable(left: DataType, right: DataType) -> DataType | None:
-    """The type in which values of two types are compared, None for the one they share."""
+    Nothing is rounded. Text counts without white space around it, in plain or scientific
+    notation; what is no number, or has an exponent beyond 18 digits, is NULL. A whole
+    floating-point number stands for its exact value (up to 38 digits), any other for the
+    shortest decimal that names it, as it is shown. Zeros have no sign. NaN and infinities
+    equal themselves only.
+    """
+    text = strip(value.cast("string"))
+    if isinstance(kind, (FloatType, DoubleType)):
+        whole = value.cast("double").try_cast(DecimalType(38, 0))
+        exact = F.when(whole.cast("double") == value.cast("double"), whole.cast("string"))
+        text = F.coalesce(F.when(F.abs(value) >= F.lit(1.0), exact), text)
+    parts = F.regexp_extract(text, NUMBER, 1), F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3)
+    digits = F.ltrim(F.replace(parts[1], F.lit("."), F.lit("")), F.lit("0"))
+    decimals = F.when(parts[1].contains("."), F.length(parts[1]) - F.instr(parts[1], ".")).otherwise(0)
+    exponent = F.when(parts[2] == "", F.lit(0).cast("bigint")).otherwise(parts[2].try_cast("bigint"))
+    significant = F.rtrim(digits, F.lit("0"))
+    exponent = exponent - decimals + F.length(digits) - F.length(significant)
+    sign = F.when(parts[0] == "-", F.lit("-")).otherwise(F.lit(""))
+    form = F.when(significant == "", F.lit("0")).otherwise(F.concat(sign, significant, F.lit("e"), exponent.cast("string")))
+    other = F.lit(None).cast("string")
+    if isinstance(kind, (FloatType, DoubleType)):
+        other = F.when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), text)
+    return F.when(text.rlike(NUMBER), form).otherwise(other)
+
+
+#: Sign, digits with or without a point, exponent.
+NUMBER = r"^([+-]?)([0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE]([+-]?[0-9]{1,18}))?$"
+
+
+def _compared(left: DataType, right: DataType) -> Callable[[Column, DataType], Column]:
+    """How the keys of two types become comparable.
+
+    Of one type as they are, whole numbers as longs, floating-point numbers as doubles; all
+    other numbers, and numbers with text, by ``number_form``, as no common type holds all of both.
+    """
     if left == right:
-        return None
+        return lambda key, _: key
     types = (left, right)
-    if any(isinstance(t, StringType) for t in types) and any(isinstance(t, NumericType) for t in types):
-        return DecimalType(38, TEXT_SCALE)
-    if not all(isinstance(t, NumericType) for t in types):
+    if all(isinstance(t, IntegralType) for t in types):
+        return lambda key, _: key.cast(LongType())
+    if all(isinstance(t, (FloatType, DoubleType)) for t in types):
+        return lambda key, _: key.cast(DoubleType())
+    if not all(isinstance(t, (NumericType, StringType)) for t in types):
         raise ValueError(f"keys of types {left.simpleString()} and {right.simpleString()} do not compare")
-    if any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in types):
-        return DoubleType()
-    if any(isinstance(t, DecimalType) for t in types):
-        return DecimalType(38, max(t.scale for t in types if isinstance(t, DecimalType)))
-    return LongType()
+    return number_form
 
 
 def _same(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> Column:
     """Equal keys, written so that a hot key can be split.
 
-    Keys of two types are compared in one: whole numbers as longs, decimals at the larger
-    scale, floating-point numbers as doubles, number text by its value (text that is no
-    number equals nothing). Other mixtures raise.
+    Keys of two types are compared by their exact value (see ``_compared``): a key equals
+    another if both name the same number. Text that is no number equals no number. Text
+    with text is compared as text. Types that are neither raise.
 
     The dimension side was just made unique, so it lies partitioned by its key. Spark
     would join it in place, and then it cannot divide the other side's hot partitions.
@@ -55,11 +87,9 @@ def _same(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> C
     (only where nothing is broadcast).
     """
     types = [df.select(F.col(quoted(k))).schema[0].dataType for df, k in ((left, left_key), (right, right_key))]
-    common = _comparable(*types)
-    a, b = F.col(quoted(left_key)), F.col(quoted(right_key))
-    if common is not None:
-        a, b = a.try_cast(common), b.try_cast(common)
-    if isinstance(common or types[0], FractionalType) and not isinstance(common or types[0], DecimalType):
+    comparable = _compared(*types)
+    a, b = comparable(F.col(quoted(left_key)), types[0]), comparable(F.col(quoted(right_key)), types[1])
+    if all(isinstance(t, (FloatType, DoubleType)) for t in types):
         a, b = a + 0.0, b + 0.0  # 0 and -0 are equal but spelled differently
     return (a == b) & (F.octet_length(a.cast("string")) == F.octet_length(b.cast("string")))
 

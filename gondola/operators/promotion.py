@@ -5,17 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StringType
 
 from gondola.functions.flags import approved, find_flag_column
 from gondola.functions.text import safe_text
-from gondola.operators import sinks
 from gondola.operators.dimensions import absent_rows
 from gondola.operators.review import FLAG
 from gondola.operators.schema import ensure_layout, quoted
-from gondola.session import written
-from gondola.sources.tables import read_dimension, read_queue
+from gondola.operators.store import Conflict, Store
 
 # Queue column -> dimension column of panel stores.
 PANEL_STORE_RENAMES = {
@@ -79,31 +77,60 @@ def counted(promoted: Promotion) -> DataFrame:
     return both.agg(*[F.count_if(F.col("part") == part).alias(part) for part in ("inserted", "remaining")])
 
 
+#: How often a queue is promoted anew because another load was published meanwhile.
+ATTEMPTS = 5
+
+
 def run(
-    spark: SparkSession,
-    queues: Mapping[str, str],
-    dim_path: str,
+    store: Store,
+    queues: Sequence[str],
+    dim: str,
     key: str,
     mode: str = "lenient",
     renames: Mapping[str, str] | None = None,
     order_by: Sequence[str] = (),
     dry_run: bool = False,
 ) -> DataFrame:
-    """Promote several review queues (name -> path) into one dimension table, in the order of their names.
+    """Promote several review queues into the dimension ``dim``, all tables of ``store``, in the order of their names.
 
-    Each queue sees the dimension with what the queues before it inserted. The new rows are
-    appended and the queue rewritten without them; a queue that fails is left as it is and does
-    not stop the others. Returns queue, inserted, remaining and error (NULL if none).
+    Each queue sees the dimension with what the queues before it inserted. Its new rows, the
+    queue without them and the record of both counts are published as one, so a run that stops
+    anywhere has either promoted a queue or left it; a rerun goes on from there. A queue that
+    fails does not stop the others. Returns queue, inserted, remaining and error (NULL if none);
+    ``last_promotion`` finds the counts of a run that stopped before it could return them.
     """
     outcomes = []
     for name in sorted(queues):
         try:
-            promoted = promote(read_queue(spark, queues[name]), read_dimension(spark, dim_path), key, mode, renames, order_by)
-            if not dry_run:
-                promoted = Promotion(written(promoted.inserted), written(promoted.remaining))
-                sinks.append_dimension(promoted.inserted, dim_path)
-                sinks.write_queue(promoted.remaining, queues[name])
-            outcomes.append((name, promoted.inserted.count(), promoted.remaining.count(), None))
+            outcomes.append((name, *_promoted(store, name, dim, key, mode, renames, order_by, dry_run), None))
         except Exception as error:  # one bad queue must not hold up the others
             outcomes.append((name, 0, None, f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"))
-    return spark.createDataFrame(outcomes, "queue string, inserted bigint, remaining bigint, error string")
+    return store.spark.createDataFrame(outcomes, "queue string, inserted bigint, remaining bigint, error string")
+
+
+def _promoted(store: Store, name: str, dim: str, key: str, mode: str, renames, order_by, dry_run: bool) -> tuple[int, int]:
+    for attempt in range(ATTEMPTS):
+        load, before = store.load(), store.snapshot(name)
+        promoted = promote(store.read(name), store.read(dim), key, mode, renames, order_by)
+        if dry_run:
+            row = counted(promoted).first()
+            return row.inserted, row.remaining
+        one = {"n": F.count(F.lit(1))}
+        inserted = load.put(dim, promoted.inserted, append=True, metrics=one)["n"]
+        remaining = load.put(name, promoted.remaining, metrics=one)["n"]
+        try:
+            load.publish(run="promotion", queue=name, snapshot=list(before), inserted=inserted, remaining=remaining)
+            return inserted, remaining
+        except Conflict:
+            if attempt == ATTEMPTS - 1:
+                raise
+    raise AssertionError
+
+
+def last_promotion(store: Store, queue: str) -> dict | None:
+    """The record of the queue's last promotion: the snapshot it read, rows inserted and remaining."""
+    for version in reversed(store.versions()):
+        info = store.manifest(version)["info"]
+        if info.get("run") == "promotion" and info["queue"] == queue:
+            return info
+    return None

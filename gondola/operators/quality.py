@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -20,19 +21,34 @@ def bad_numbers(df: DataFrame, column: str, context: Sequence[str] = ()) -> Data
     return stripped.filter(is_bad_number(F.col("bad_value")))
 
 
+def first_bad_number(
+    df: DataFrame, column: str, context: Sequence[str], order_by: Sequence[str], where: Column | None = None
+) -> Column:
+    """Aggregate: the first row, in order, whose ``column`` is no number, as JSON of its context; NULL if none.
+
+    Several of them can be taken in one pass, also while the rows are written.
+    """
+    value = strip(F.col(quoted(column)))
+    bad = is_bad_number(value) & (F.lit(True) if where is None else where)
+    shown = F.struct(*[F.col(quoted(c)) for c in context if c in df.columns and c != column], value.alias(column))
+    place = F.struct(*[F.col(quoted(c)) for c in order_by])
+    return F.min_by(F.to_json(shown, {"ignoreNullFields": "false"}), F.when(bad, place))
+
+
+def bad_number_message(df: DataFrame, column: str, first: str, label: str = "") -> str:
+    """What stops a strict run: the first bad row and, from one more pass, the commonest bad values."""
+    bad = bad_numbers(df, column)
+    common = [tuple(r) for r in top_values(bad, "bad_value").collect()]
+    return f"{label} first value of {column!r} that is no number: {json.loads(first)}; commonest: {common}"
+
+
 def require_numbers(
     df: DataFrame, column: str, context: Sequence[str], order_by: Sequence[str], label: str = ""
 ) -> None:
     """Fail on the first bad number in row order, showing it and the commonest ones."""
-    stripped = df.withColumn(column, strip(F.col(quoted(column))))
-    bad = stripped.filter(is_bad_number(F.col(quoted(column))))
-    first = bad.orderBy(*[quoted(c) for c in order_by]).limit(1).collect()
-    if not first:
-        return
-    row = first[0].asDict()
-    shown = {c: row[c] for c in [*context, column] if c in row}
-    common = [tuple(r) for r in top_values(bad, column).collect()]
-    raise ValueError(f"{label} first value of {column!r} that is no number: {shown}; commonest: {common}")
+    first = df.agg(first_bad_number(df, column, context, order_by)).first()[0]
+    if first is not None:
+        raise ValueError(bad_number_message(df, column, first, label))
 
 
 def frequencies(df: DataFrame, *columns: str) -> DataFrame:

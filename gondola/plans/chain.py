@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
-from gondola.functions.dates import day_month_year, month_start, period
+from gondola.functions.dates import day_month_year, month_start, period, target_day
 from gondola.functions.numbers import (
     barcode_digits, integer_key, is_bad_number, plain_number, store_code, without_leading_zeros,
 )
 from gondola.functions.text import strip
-from gondola.operators import quality, sinks
+from gondola.operators import quality
 from gondola.operators.dedup import keep_first
 from gondola.operators.joins import with_key_flag
 from gondola.operators.measures import CIGARETTES, chain_measures, dollars
@@ -23,7 +25,10 @@ from gondola.operators.review import chain_product_queue, chain_store_queue
 from gondola.operators.schema import (
     SOURCE_ORDER, column_or_null, computed, keep_enabled, quoted, require_columns, strip_cells,
 )
-from gondola.session import scratch_removed, written
+from gondola.operators.store import Store
+from gondola.session import scratch_removed, written_counted
+from gondola.sources import selection, tables
+from gondola.sources.feeds import read_feed
 
 # The categories in load order, whether they are on, and the columns
 # of their fact tables.
@@ -130,13 +135,24 @@ def _known_products(products: DataFrame) -> DataFrame:
     return first.withColumns({"pack_units": plain_number(pack), "pack_is_bad": is_bad_number(pack)})
 
 
-def require_clean_numbers(tagged: DataFrame, order_by: Sequence[str] = SOURCE_ORDER) -> None:
-    """Strict mode: fail on the first units, amount or pack content that is no number."""
+CHECKED = ("unidades vendidas", "total facturado", "pack")
+
+
+def first_bad_numbers(tagged: DataFrame, order_by: Sequence[str] = SOURCE_ORDER) -> dict[str, Column]:
+    """Aggregates for the first units, amount and pack content that are no number, all in one pass."""
     where = ["fecha", "id_sucursal", "codigo de barras"]
-    for column in ("unidades vendidas", "total facturado"):
-        quality.require_numbers(tagged, column, where, order_by)
-    cigarettes = tagged.filter(F.col("category") == CIGARETTES)
-    quality.require_numbers(cigarettes, "pack", where, order_by)
+    of_packs = F.col("category") == CIGARETTES
+    return {
+        c: quality.first_bad_number(tagged, c, where, order_by, of_packs if c == "pack" else F.lit(True)) for c in CHECKED
+    }
+
+
+def require_clean_numbers(tagged: DataFrame, found: Mapping[str, str | None]) -> None:
+    """Strict mode: fail on the first bad number that ``first_bad_numbers`` found, the units' before the amount's."""
+    for column in CHECKED:
+        if found[column] is not None:
+            rows = tagged.filter(F.col("category") == CIGARETTES) if column == "pack" else tagged
+            raise ValueError(quality.bad_number_message(rows, column, found[column]))
 
 
 def _wrong() -> Column:
@@ -192,14 +208,40 @@ def counters(tagged: DataFrame) -> DataFrame:
     return quality.run_counters(tagged, "codigo de barras", "id_sucursal")
 
 
-def with_missing(counted: DataFrame, wanted: Sequence[str], found: Sequence[str]) -> DataFrame:
-    """Run counters with an ``outcome``: ``loaded``, or ``missing_file`` for a wanted category
-    of which no file was read."""
-    spark = counted.sparkSession
-    absent = spark.createDataFrame([(c,) for c in wanted if c not in found], "category string")
-    numbers = {c: F.lit(0).cast("bigint").alias(c) for c in counted.columns if c != "category"}
-    absent = absent.select(*[numbers.get(c, F.col(c)) for c in counted.columns], F.lit("missing_file").alias("outcome"))
-    return counted.withColumn("outcome", F.lit("loaded")).unionByName(absent)
+def run_counts(wanted: Sequence[str]) -> dict[str, Column]:
+    """The rows of each category by the step they got to, as aggregates of the tagged rows."""
+    of = lambda category, *tests: F.count_if(reduce(and_, tests, F.col("category") == category))
+    return {
+        f"{measure}:{c}": of(c, *tests)
+        for c in wanted
+        for measure, tests in {
+            "rows_in": (), "product_matched": (F.col("has_product"),),
+            "store_matched": (F.col("has_product"), F.col("has_store")),
+        }.items()
+    }
+
+
+COUNTERS = (
+    "category string, rows_in bigint, product_matched bigint, store_matched bigint, product_keys_unmatched bigint, "
+    "store_keys_unmatched bigint, outcome string, products_queued bigint, stores_queued bigint"
+)
+
+
+def counter_rows(
+    counts: Mapping[str, int], wanted: Sequence[str], found: Sequence[str] | None, queued: tuple[int, int]
+) -> list[tuple]:
+    """A row of run counters for each wanted category, whether it had rows or a file or not.
+
+    ``outcome`` is ``loaded``, or ``missing_file`` where no file was read: ``found`` names the
+    categories with one, by default those with a row.
+    """
+    names = ("rows_in", "product_matched", "store_matched", "product_keys_unmatched", "store_keys_unmatched")
+    result = []
+    for c in wanted:
+        values = [counts.get(f"{n}:{c}") or 0 for n in names]
+        there = values[0] > 0 or (found is not None and c in found)
+        result.append((c, *values, "loaded" if there else "missing_file", *queued))
+    return result
 
 
 def run(
@@ -215,52 +257,102 @@ def run(
     strict: bool = False,
     dry_run: bool = False,
 ) -> DataFrame:
-    """Load one month of all categories below ``out``: fact, rejects and both queues.
+    """Load one month of all categories into the store ``out``: fact, rejects and both queues.
 
     ``feed`` comes from ``read_feed`` and ``with_category``. The tagged rows are written
-    once and every output reads them from there. The month is replaced for each category
-    whose file was read, also where no valid row came; a category without a file keeps what
-    it has. ``found`` names the categories read (``selection.files_for_month``); by default
-    they are those with a row in the feed. Returns the run counters with an ``outcome``, and
-    the products and stores queued over all categories. A dry run writes nothing at all.
+    once and every output reads them from there, once each; all counts are taken while writing.
+    The month is replaced for each category whose file was read, also where no valid row came; a
+    category without a file keeps what it has. ``found`` names the categories read
+    (``selection.files_for_month``); by default they are those with a row in the feed. All four
+    tables change together or, if the run stops, not at all (``operators.store``). Returns the
+    run counters, a row for each category, with an ``outcome`` and the products and stores queued
+    over all categories; the store keeps them too. A dry run writes nothing at all.
     """
     spark = feed.sparkSession
     wanted = list(categories or enabled_categories())
-    with scratch_removed(spark):
-        counted = _load(tag_rows(feed, products, stores, month, wanted), month, out, (product_layout, store_layout), wanted, found, strict, dry_run)
-        # A row per category, kept here because the table it was counted from goes.
-        return spark.createDataFrame(counted.collect(), counted.schema)
+    tagged = tag_rows(feed, products, stores, month, wanted)
+    if dry_run:
+        rows = _dry_counts(tagged, (product_layout, store_layout), wanted, found, strict)
+    else:
+        with scratch_removed(spark):
+            rows = _load(tagged, month, Store(spark, out), (product_layout, store_layout), wanted, found, strict)
+    return spark.createDataFrame(rows, COUNTERS)
+
+
+FIRST = ("category_rank", *SOURCE_ORDER)
+
+
+def _dry_counts(
+    tagged: DataFrame, layouts: tuple[Sequence[str], Sequence[str]], wanted: Sequence[str],
+    found: Sequence[str] | None, strict: bool,
+) -> list[tuple]:
+    if strict:
+        require_clean_numbers(tagged, tagged.agg(*[m.alias(n) for n, m in first_bad_numbers(tagged).items()]).first().asDict())
+    counts = {f"{n}:{r.category}": v for r in counters(tagged).collect() for n, v in r.asDict().items() if n != "category"}
+    queues = product_queue(tagged, layouts[0], FIRST), store_queue(tagged, layouts[1], FIRST)
+    return counter_rows(counts, wanted, found, (queues[0].count(), queues[1].count()))
 
 
 def _load(
     tagged: DataFrame,
     month: datetime.date,
-    out: str,
+    store: Store,
     layouts: tuple[Sequence[str], Sequence[str]],
     wanted: Sequence[str],
     found: Sequence[str] | None,
     strict: bool,
-    dry_run: bool,
-) -> DataFrame:
+) -> list[tuple]:
+    checks = first_bad_numbers(tagged) if strict else {}
+    tagged, counts = written_counted(tagged, run_counts(wanted) | checks)
     if strict:
-        require_clean_numbers(tagged)
-    tagged = tagged if dry_run else written(tagged)
-    counted = counters(tagged)
-    if found is None:
-        found = [r.category for r in tagged.select("category").distinct().collect()]
-    first = ["category_rank", *SOURCE_ORDER]
-    queues = product_queue(tagged, layouts[0], first), store_queue(tagged, layouts[1], first)
-    if not dry_run:
-        rows = fact(tagged, stored=True)
-        sinks.write_periods_found(rows, f"{out}/fact", "fecha", ("category", "period"))
-        filled = {r.category for r in fact_rows(tagged).select("category").distinct().collect()}
-        for category in wanted:
-            if category in found and category not in filled:
-                sinks.write_month(rows.limit(0), f"{out}/fact", category, month.strftime("%Y-%m"))
-        sinks.write_rejects(rejects(tagged), f"{out}/rejects")
-        sinks.write_queue(queues[0], f"{out}/product_queue")
-        sinks.write_queue(queues[1], f"{out}/store_queue")
-    queued = [q.agg(F.count(F.lit(1)).alias(n)) for q, n in zip(queues, ("products_queued", "stores_queued"))]
-    amounts = queued[0].first()[0], queued[1].first()[0]
-    totals = {n: F.lit(v) for n, v in zip(("products_queued", "stores_queued"), amounts)}
-    return with_missing(counted, wanted, found).withColumns(totals)
+        require_clean_numbers(tagged, counts)
+    load = store.load()
+    present = [c for c in wanted if counts[f"rows_in:{c}"] or (found is not None and c in found)]
+    gone = [{"category": c, "period": month.strftime("%Y-%m")} for c in present if found is None or c in found]
+    load.put("fact", fact(tagged, stored=True), ["category", "period"], replaced=gone)
+    load.put("rejects", rejects(tagged), ["reason"], replaced=[{"reason": r} for r in REASONS.values()])
+    queued = []
+    for name, key, measure, queue, layout in (
+        ("product_queue", "codigo de barras", "product_keys_unmatched", chain_product_queue, layouts[0]),
+        ("store_queue", "id_sucursal", "store_keys_unmatched", chain_store_queue, layouts[1]),
+    ):
+        # The first row of each key in each category: what is counted, and all the queue needs.
+        missing = "missing_product" if name == "product_queue" else "missing_store"
+        first = keep_first(tagged.filter(missing), ["category", key], FIRST)
+        first, keys = written_counted(first, {f"{measure}:{c}": F.count_if(F.col("category") == c) for c in wanted})
+        counts |= keys
+        rows = load.put(name, queue(first, layout, FIRST), metrics={"n": F.count(F.lit(1))})
+        queued.append(rows["n"])
+    result = counter_rows(counts, wanted, found, tuple(queued))
+    load.publish(run="chain", month=month.isoformat(), counters=result)
+    return result
+
+
+def run_day(
+    spark: SparkSession,
+    folder: str,
+    day: datetime.date,
+    products: str,
+    stores: str,
+    out: str,
+    categories: Sequence[str] | None = None,
+    **options,
+) -> DataFrame:
+    """From the run day to the loaded month: pick each category's file below ``folder``, read, ``run``.
+
+    ``products`` and ``stores`` are paths of the dimension tables, whose columns are the queues'
+    layouts. Categories without a file for the day's month are reported as ``missing_file``;
+    ``options`` go to ``run``.
+    """
+    wanted = list(categories or enabled_categories())
+    files = selection.best_files(selection.chain_candidates(selection.list_files(spark, folder)), "category")
+    picked = selection.files_for_month(files, target_day(F.lit(day)), wanted).collect()
+    paths, month = [r.path for r in picked if r.outcome == "found"], picked[0].period
+    if not paths:
+        return spark.createDataFrame(counter_rows({}, wanted, [], (0, 0)), COUNTERS)
+    feed = with_category(read_feed(spark, paths, required=REQUIRED))
+    layouts = [tables.read_dimension(spark, path).columns for path in (products, stores)]
+    return run(
+        feed, tables.read_chain_products(spark, products), tables.read_chain_stores(spark, stores), month, out, *layouts,
+        categories=wanted, found=[r.category for r in picked if r.outcome == "found"], **options,
+    )

@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gondola.functions.dates import date_from_parts, month_number
+from gondola.functions.dates import date_from_parts, month_number, period, previous_month_start
 from gondola.functions.numbers import number_or_zero, thousands_number
 from gondola.functions.retail import fixed_store_code, store_type
 from gondola.functions.text import missing_to_null, upper_trim
-from gondola.operators import sinks
 from gondola.operators.joins import correct_store_names, key_flags
 from gondola.operators.measures import bounded_measure, panel_measures, panel_volume, units_or_quantity
 from gondola.operators.numbering import run_row_ids
 from gondola.operators.replace import rejects_by_reason
 from gondola.operators.review import panel_product_queue, panel_store_queue
 from gondola.operators.schema import SOURCE_ORDER, column_or_null, computed, on_texts, put_first, quoted
-from gondola.session import written
+from gondola.operators.store import Store
+from gondola.session import scratch_removed, written, written_counted
+from gondola.sources import selection, tables
+from gondola.sources.feeds import read_feed
 
 # Columns that are cleaned, fact names of feed columns, the fact layout.
 CLEANED = (
@@ -123,6 +126,31 @@ def rejects(flagged: DataFrame) -> DataFrame:
     return rejects_by_reason(flagged.filter(_wrong()), REASONS)
 
 
+def run_counts(flagged: DataFrame) -> dict[str, Column]:
+    """The rows of a panel run by what was found, as aggregates of ``flag_rows``."""
+    product, store = ~F.col("missing_product"), ~F.col("missing_store")
+    return {
+        "rows_in": F.count(F.lit(1)), "product_matched": F.count_if(product), "store_matched": F.count_if(store),
+        "matched": F.count_if(product & store), "bad_date": F.count_if(F.col("bad_date")), "loaded": F.count_if(~_wrong()),
+    }
+
+
+COUNTERS = (
+    "rows_in bigint, product_matched bigint, store_matched bigint, matched bigint, bad_date bigint, loaded bigint, "
+    "products_queued bigint, stores_queued bigint"
+)
+
+
+def counters(flagged: DataFrame, queued: tuple[DataFrame, DataFrame]) -> DataFrame:
+    """One row: rows in, matched by product, by store and by both, without a date and loaded; products and stores queued."""
+    row = flagged.agg(*[m.alias(n) for n, m in run_counts(flagged).items()])
+    for queue, name in zip(queued, ("products_queued", "stores_queued")):
+        # One row to one row; the key keeps it from being a product of tables.
+        one = queue.agg(F.count(F.lit(1)).alias(name)).withColumn("_one", F.lit(1))
+        row = row.withColumn("_one", F.lit(1)).join(one, "_one").drop("_one")
+    return row
+
+
 def run(
     feed: DataFrame,
     products: DataFrame,
@@ -134,23 +162,58 @@ def run(
     constants: Mapping[str, object] | None = None,
     dry_run: bool = False,
 ) -> DataFrame:
-    """Load a panel feed from ``read_feed`` below ``out``: fact, rejects and both queues.
+    """Load a panel feed from ``read_feed`` into the store ``out``: fact, rejects and both queues.
 
     Replaces the months that occur among the valid rows; without any valid row the fact
-    stays as it is, but matched rows that all lack a date are an error.
-    Returns the loaded rows. A dry run writes nothing at all, so its rows have no ``Id`` yet.
+    stays as it is, but matched rows that all lack a date are an error. All four tables change
+    together or, if the run stops, not at all (``operators.store``). Returns the run's
+    ``counters``, taken while writing; the store keeps them too. A dry run writes nothing at all.
     """
+    spark = feed.sparkSession
+    prepared = prepare(feed, name_mapping)
     if dry_run:
-        return fact(flag_rows(fact_candidates(prepare(feed, name_mapping)), stores, products))
-    prepared = written(prepare(feed, name_mapping))
+        queues = panel_product_queue(prepared, products, product_layout, constants, SOURCE_ORDER), panel_store_queue(prepared, stores, SOURCE_ORDER)
+        return counters(flag_rows(fact_candidates(prepared), stores, products), queues)
+    with scratch_removed(spark):
+        counts = _load(written(prepared), products, stores, run_stamp, Store(spark, out), product_layout, constants)
+    return spark.createDataFrame([tuple(counts.values())], COUNTERS)
+
+
+def _load(
+    prepared: DataFrame, products: DataFrame, stores: DataFrame, run_stamp: str, store: Store,
+    product_layout: Sequence[str], constants: Mapping[str, object] | None,
+) -> dict[str, int]:
     flagged = flag_rows(with_ids(fact_candidates(prepared), run_stamp, stored=True), stores, products)
-    loaded = fact(flagged)
-    matched = flagged.filter(~F.col("missing_product") & ~F.col("missing_store"))
-    if loaded.isEmpty() and not matched.isEmpty():
+    flagged, counts = written_counted(flagged, run_counts(flagged))
+    if counts["matched"] and not counts["loaded"]:
         raise ValueError("no matched row has a date, so no month can be replaced")
-    sinks.write_periods_found(loaded, f"{out}/fact", "Fecha")
-    sinks.write_rejects(rejects(flagged), f"{out}/rejects")
+    load = store.load()
+    dated = fact(flagged).withColumn("period", period(F.col("Fecha")))
+    load.put("fact", dated, ["period"])
+    load.put("rejects", rejects(flagged), ["reason"], replaced=[{"reason": r} for r in REASONS.values()])
     queue = panel_product_queue(prepared, products, product_layout, constants, SOURCE_ORDER)
-    sinks.write_queue(queue, f"{out}/product_queue")
-    sinks.write_queue(panel_store_queue(prepared, stores, SOURCE_ORDER), f"{out}/store_queue")
-    return loaded
+    one = {"n": F.count(F.lit(1))}
+    counts["products_queued"] = load.put("product_queue", queue, metrics=one)["n"]
+    counts["stores_queued"] = load.put("store_queue", panel_store_queue(prepared, stores, SOURCE_ORDER), metrics=one)["n"]
+    load.publish(run="panel", stamp=run_stamp, counters=counts)
+    return counts
+
+
+def run_day(
+    spark: SparkSession, folder: str, day: datetime.date, products: str, stores: str, run_stamp: str, out: str,
+    name_mapping: str | None = None, **options,
+) -> DataFrame | None:
+    """From the run day to the loaded feed: pick the file of the month before below ``folder``, read, ``run``.
+
+    ``products``, ``stores`` and ``name_mapping`` are paths. None if there is no such file.
+    """
+    files = selection.best_files(selection.panel_candidates(selection.list_files(spark, folder)))
+    picked = selection.files_for_month(files, previous_month_start(F.lit(day))).first()
+    if picked.outcome != "found":
+        return None
+    products_table = tables.read_dimension(spark, products)
+    names = tables.read_store_names(spark, name_mapping) if name_mapping else None
+    return run(
+        read_feed(spark, [picked.path], "panel"), products_table, tables.read_dimension(spark, stores), run_stamp, out,
+        products_table.columns, names, **options,
+    )

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime SQL settings beyond Spark's defaults. A dimension too big to broadcast is
 # joined by shuffle, and then a hot key is split at run time; "force" allows that even
@@ -60,6 +61,15 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_counted(df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Any]]:
+    """``written``, and aggregates taken on the way."""
+    if not metrics:
+        return written(df), {}
+    seen = Observation(f"gondola-{uuid.uuid4().hex}")
+    stored = written(df.observe(seen, *[m.alias(n) for n, m in metrics.items()]))
+    return stored, dict(seen.get)
+
+
 @contextmanager
 def scratch_removed(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what ``written`` wrote inside; nothing read from it may be used after."""

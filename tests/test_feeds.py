@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gondola.operators import promotion, replace, sinks
+from gondola.operators.store import Store
 from gondola.plans import chain, panel
 from gondola.session import shared_dir, written
 from gondola.sources import feeds, selection, tables
@@ -103,6 +104,12 @@ def chain_inputs(spark, tmp_path):
     return feed, products, stores, str(tmp_path / "out")
 
 
+def put_month(old, out, category, month):
+    load = Store(old.sparkSession, out).load()
+    load.put("fact", old.withColumn("category", F.lit(category)).withColumn("period", F.lit(month)), ["category", "period"])
+    load.publish()
+
+
 LAYOUTS = (["producto", "ean", "categoria", "variedad"], ["id_sucursal_bg", "nombre_local", "ciudad"])
 
 
@@ -112,22 +119,23 @@ def test_chain_run(spark, chain_inputs):
     old = spark.createDataFrame([(1, datetime.date(1998, 2, 1), 5.0)], "index int, fecha date, kilos double")
     old = old.select(F.col("index").cast("bigint"), "fecha", "kilos")
     for month in ("1998-02", "1998-03"):
-        sinks.write_month(old, f"{out}/fact", "YERBA", month)
-    sinks.write_month(old, f"{out}/fact", "VAPES", "1998-03")
+        put_month(old, out, "YERBA", month)
+    put_month(old, out, "VAPES", "1998-03")
 
+    store = Store(spark, out)
     for _ in range(2):  # the second run changes nothing
         counted = chain.run(feed, products, stores, march, out, *LAYOUTS)
-        fact = spark.read.parquet(f"{out}/fact")
+        fact = store.read("fact")
         yerba = fact.filter("category = 'YERBA' and period = '1998-03'").select("index", "sku", "unidades", "kilos", "facturacion_dolar")
         assert rows(yerba) == [(1, "111", 2.0, 1.0, 1.0), (2, "111", 3.0, 1.5, 2.0)]
         assert fact.filter("category = 'PANALES'").count() == 2
         assert fact.filter("period = '1998-02'").count() == 1  # other months stay
         assert fact.filter("category = 'VAPES'").count() == 1  # no VAPES file was read, so its month stays
-    reasons = spark.read.parquet(f"{out}/rejects").filter("category = 'YERBA'").groupBy("reason").count()
+    reasons = store.read("rejects").filter("category = 'YERBA'").groupBy("reason").count()
     assert dict(rows(reasons)) == {"missing_product": 2, "missing_store": 1, "bad_units": 1, "bad_date": 1, "out_of_period": 1}
-    queue = spark.read.parquet(f"{out}/product_queue").select("producto", "ean", "categoria", "para_escritura")
+    queue = store.read("product_queue").select("producto", "ean", "categoria", "para_escritura")
     assert rows(queue) == [("Dos", "222", "YERBA", False)]  # the first category and row win
-    assert rows(spark.read.parquet(f"{out}/store_queue").select("id_sucursal_bg", "nombre_local")) == [("99", "Nueva")]
+    assert rows(store.read("store_queue").select("id_sucursal_bg", "nombre_local")) == [("99", "Nueva")]
     counts = {r.category: (r.rows_in, r.outcome, r.products_queued, r.stores_queued) for r in counted.collect()}
     loaded, absent = (8, "loaded", 1, 1), (0, "missing_file", 1, 1)
     assert counts == {"YERBA": loaded, "PANALES": loaded, "VAPES": absent, "CIGARRILLOS": absent}
@@ -137,11 +145,11 @@ def test_a_file_without_a_valid_row_empties_its_month(spark, chain_inputs):
     feed, products, stores, out = chain_inputs
     old = spark.createDataFrame([(1, datetime.date(1998, 3, 9))], "index bigint, fecha date")
     for category in ("VAPES", "CIGARRILLOS"):
-        sinks.write_month(old, f"{out}/fact", category, "1998-03")
+        put_month(old, out, category, "1998-03")
     scratch = shared_dir(spark).removeprefix("file:")
     before = set(os.listdir(scratch))
     chain.run(feed, products, stores, datetime.date(1998, 3, 1), out, *LAYOUTS, found=["YERBA", "PANALES", "VAPES"])
-    left = spark.read.parquet(f"{out}/fact").groupBy("category").count()
+    left = Store(spark, out).read("fact").groupBy("category").count()
     assert {r.category for r in left.collect()} == {"YERBA", "PANALES", "CIGARRILLOS"}
     assert set(os.listdir(scratch)) == before  # the run's scratch tables are gone
 
@@ -177,12 +185,16 @@ def test_panel_run(spark, tmp_path):
     stores = spark.createDataFrame([("359545043",), ("7",)], "Id_Comercial string")
     mapping = tables.read_store_names(spark, names)
     out = str(tmp_path / "out")
-    august = spark.createDataFrame([("old", datetime.date(2025, 8, 1))], "Id string, Fecha date")
-    sinks.write_periods_found(august, f"{out}/fact", "Fecha")
+    august = spark.createDataFrame([("old", datetime.date(2025, 8, 1), "2025-08")], "Id string, Fecha date, period string")
+    store = Store(spark, out)
+    load = store.load()
+    load.put("fact", august, ["period"])
+    load.publish()
     layout = ["Id_Producto", "Categoria", "Presentacion_Producto", "Gramos", "talle"]
     for _ in range(2):
-        panel.run(feed, products, stores, "S", out, layout, mapping, {"Marca": "M"})
-        fact = spark.read.option("mergeSchema", True).parquet(f"{out}/fact")
+        counts = panel.run(feed, products, stores, "S", out, layout, mapping, {"Marca": "M"})
+        assert rows(counts) == [(4, 3, 3, 3, 1, 2, 1, 1)]
+        fact = store.read("fact")
         assert rows(fact.filter("period = '2025-08'").select("Id")) == [("old",)]
         september = fact.filter("period = '2025-09'").orderBy("Id").collect()
         assert [(r.Id, r.Id_Comercial, r.Cantidad, r.Precio_Unitario, r.Facturacion_Gs, r.unidades) for r in september] == [
@@ -190,11 +202,13 @@ def test_panel_run(spark, tmp_path):
         ]
         assert [r.kilos for r in september] == [40.0, 12.5]
         assert september[0].cajas == 20 * 10.0 * 2 / 10000 and september[1].fardos == 12.5 * 30 / 1e6 / 0.00579
-    reasons = spark.read.parquet(f"{out}/rejects").select("Id", "reason")
+    reasons = store.read("rejects").select("Id", "reason")
     assert rows(reasons) == [("2_S", "bad_date"), ("3_S", "missing_product"), ("3_S", "missing_store")]
-    assert rows(spark.read.parquet(f"{out}/product_queue").drop("para_escritura")) == [("9", "CERVEZA", "900 ML.", 900.0, "-")]
-    queue = spark.read.parquet(f"{out}/store_queue")
+    assert rows(store.read("product_queue").drop("para_escritura")) == [("9", "CERVEZA", "900 ML.", 900.0, "-")]
+    queue = store.read("store_queue")
     assert rows(queue.select("Código único PDV", "Nombre PDV")) == [("8", "NUEVO")]
+    assert rows(panel.run(feed, products, stores, "S", str(tmp_path / "dry"), layout, mapping, dry_run=True)) == rows(counts)
+    assert not os.path.exists(tmp_path / "dry")
     prepared = panel.prepare(feed, mapping)
     assert [r["nombre pdv"] for r in prepared.orderBy(*feeds.SOURCE_ORDER).collect()][:2] == ["Super Uno Central", "OTRO"]
 
@@ -244,19 +258,29 @@ def test_scratch_tables_go_to_the_shared_folder(spark):
     assert shared_dir(spark).removeprefix("file:") in kept.inputFiles()[0]
 
 
-def test_promotion_of_several_queues(spark, tmp_path):
-    dim_path = str(tmp_path / "dim")
-    sinks.append_dimension(spark.createDataFrame([("1", "uno")], "ean string, producto string"), dim_path)
-    queues = {name: str(tmp_path / name) for name in ("a", "b", "broken")}
+def queues(spark, root):
+    store = Store(spark, root)
+    load = store.load()
+    load.put("products", spark.createDataFrame([("1", "uno")], "ean string, producto string"))
     rows_of = {"a": [("2", "dos", "si"), ("3", "tres", "no")], "b": [("2", "otra", "si"), ("4", "cuatro", "si")]}
     for name, content in rows_of.items():
-        sinks.write_queue(spark.createDataFrame(content, "ean string, producto string, para_escritura string"), queues[name])
-    first = promotion.run(spark, queues, dim_path, "ean")
+        load.put(name, spark.createDataFrame(content, "ean string, producto string, para_escritura string"))
+    load.publish()
+    return store
+
+
+def test_promotion_of_several_queues(spark, tmp_path):
+    store = queues(spark, str(tmp_path / "store"))
+    names = ["b", "a", "broken"]
+    dry = promotion.run(store, names[:2], "products", "ean", dry_run=True)
+    assert [tuple(r)[:3] for r in dry.collect()] == [("a", 1, 1), ("b", 2, 0)] and store.versions() == [1]
+    first = promotion.run(store, names, "products", "ean")
     assert [tuple(r)[:3] for r in first.collect()] == [("a", 1, 1), ("b", 1, 0), ("broken", 0, None)]
     assert [r.error is None for r in first.collect()] == [True, True, False]
-    again = promotion.run(spark, queues, dim_path, "ean")
+    assert promotion.last_promotion(store, "b")["inserted"] == 1 and promotion.last_promotion(store, "c") is None
+    again = promotion.run(store, names, "products", "ean")
     assert [tuple(r)[:3] for r in again.collect()] == [("a", 0, 1), ("b", 0, 0), ("broken", 0, None)]
-    assert rows(tables.read_dimension(spark, dim_path)) == [("1", "uno"), ("2", "dos"), ("4", "cuatro")]
+    assert rows(store.read("products")) == [("1", "uno"), ("2", "dos"), ("4", "cuatro")]
 
 
 def test_file_for_the_run_day(spark):
@@ -265,3 +289,27 @@ def test_file_for_the_run_day(spark):
     assert rows(got.select("category", "path", "outcome")) == [("VAPES", None, "missing"), ("YERBA", "/y", "found")]
     panel_file = selection.files_for_month(best.drop("category"), F.lit(datetime.date(2025, 5, 2)))
     assert rows(panel_file.select("path", "outcome")) == [("/y", "found")]
+
+
+def test_chain_run_from_the_run_day(spark, tmp_path, chain_inputs):
+    _, products, stores, out = chain_inputs
+    products.write.parquet(str(tmp_path / "products"))
+    stores.write.parquet(str(tmp_path / "stores"))
+    put(tmp_path, "in/VAPES/1998-Marzo.csv", CHAIN.split("\n")[0].encode() + b"\n")
+    tables_at = str(tmp_path / "products"), str(tmp_path / "stores")
+    got = chain.run_day(spark, str(tmp_path / "in"), datetime.date(1998, 4, 1), *tables_at, out)
+    counts = {r.category: (r.rows_in, r.outcome) for r in got.collect()}
+    # The file of VAPES has a header and no row: it was read, and its month is empty now.
+    assert counts == {"YERBA": (8, "loaded"), "PANALES": (8, "loaded"), "VAPES": (0, "loaded"), "CIGARRILLOS": (0, "missing_file")}
+    nothing = chain.run_day(spark, str(tmp_path / "in"), datetime.date(1999, 4, 1), *tables_at, out)
+    assert {r.outcome for r in nothing.collect()} == {"missing_file"} and Store(spark, out).versions() == [1]
+
+
+def test_panel_run_from_the_run_day(spark, tmp_path):
+    put(tmp_path, "in/Base_septiembre2025.csv", PANEL.encode("utf-16"))
+    spark.createDataFrame([("1",)], "Id_Producto string").write.parquet(str(tmp_path / "p"))
+    spark.createDataFrame([("7",)], "Id_Comercial string").write.parquet(str(tmp_path / "s"))
+    args = str(tmp_path / "p"), str(tmp_path / "s"), "S", str(tmp_path / "out")
+    got = panel.run_day(spark, str(tmp_path / "in"), datetime.date(2025, 10, 3), *args)
+    assert got.first().rows_in == 4 and Store(spark, args[3]).info()["counters"]["loaded"] == got.first().loaded == 1
+    assert panel.run_day(spark, str(tmp_path / "in"), datetime.date(2025, 9, 3), *args) is None
