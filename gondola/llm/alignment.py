@@ -22,6 +22,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 from pathlib import Path
 from typing import NamedTuple
@@ -38,9 +39,9 @@ RANGE = 1 << 16
 #: Fragments that one task composes at once.
 FAN = 8
 #: Words that a task remembers, and their characters; words that are encoded at once.
-WORDS, WORD_CHARS, TOGETHER = 1 << 18, 1 << 23, 1 << 14
+WORDS, WORD_CHARS, TOGETHER = 1 << 17, 1 << 22, 1 << 14
 #: Bytes of texts that are aligned at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 #: Counted pairs that are broadcast at once.
 COUNTS = 1 << 20
 SHIFT = 20
@@ -212,16 +213,15 @@ class Pair:
         self.lengths = tuple(np.array([len(x) for x in names], np.int64) for names in self.bytes)
         self.written = [f"{i}{after}" for i in range(max(map(len, self.bytes))) for after in ",|;"]
         plain = [p for i, p in enumerate(pieces) if not self.b.is_byte(i) and not self.b.is_control(i) and not self.b.is_unknown(i)]
-        kind = json.loads(a).get("pre_tokenizer") or {}
+        data = json.loads(a)
+        kind = data.get("pre_tokenizer") or {}
         #: Whether words can be encoded apart: no piece goes over a cut, and A cuts there itself.
         self.apart = (
             kind.get("type") == "ByteLevel" and kind.get("use_regex", True) and not kind.get("add_prefix_space")
-            and not json.loads(a).get("normalizer") and not any(re.search("[^▁]▁|\n", p) for p in plain)
+            and not data.get("normalizer") and not any(re.search("[^▁]▁|\n", p) for p in plain)
         )
         self.space = self.b.encode("\n")[:1]
-        self.json = a
-        self.quick = self._quick(SPLIT) if self.apart else None
-        del self.json
+        self.quick = self._quick(data, SPLIT) if self.apart else None
         self.clear()
 
     def clear(self) -> None:
@@ -254,7 +254,7 @@ class Pair:
                 ids[i] = found[1:]  # without the space that the model adds
         return _flat(ids)
 
-    def _quick(self, pattern: str):
+    def _quick(self, data: dict, pattern: str):
         """The same tokenizer over ranks, which is faster, or None where it could differ.
 
         It merges by the rank of what two tokens give together. That is the merge list's order if
@@ -263,13 +263,13 @@ class Pair:
         """
         import tiktoken
 
-        model = json.loads(self.json)["model"]
+        model = data["model"]
         vocabulary = model["vocab"]
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [vocabulary.get("".join(p), -1) for p in pairs]
         single = sorted(i for t, i in vocabulary.items() if len(t) == 1)
         rest = {i for t, i in vocabulary.items() if len(t) > 1} - set(made)
-        special = {t["id"] for t in json.loads(self.json).get("added_tokens", [])}
+        special = {t["id"] for t in data.get("added_tokens", [])}
         if made != sorted(set(made)) or single != list(range(256)) or not rest <= special or made[0] != 256:
             return None
         if any([x.id for x in self.a.model.tokenize(t)] != [i] for t, i in vocabulary.items() if i not in special):
@@ -392,6 +392,12 @@ class Pair:
         return Tokens(ids_a, ends_a + by, ids_b, ends_b + by)
 
 
+@lru_cache(maxsize=1)
+def _pair(a: bytes, b: bytes) -> Pair:
+    """The tokenizers and the words that a worker process remembers, over its tasks."""
+    return Pair(a, b)
+
+
 def ranges(text: str, size: int = RANGE) -> Iterator[tuple[str, int, int, int]]:
     """(context, at, start, end) of the byte ranges of a space and ``text``.
 
@@ -490,7 +496,7 @@ def aligned(docs: DataFrame, a: str, b: str, size: int = RANGE, fan: int = FAN)
     length = F.coalesce(F.octet_length("text"), F.lit(0))
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(*models.value)
+        pair = _pair(*models.value)
         for batch in batches:
             sizes = np.cumsum(pc.binary_length(batch.column(1).fill_null(b"")).to_numpy(zero_copy_only=False)) // BLOCK
             cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), batch.num_rows]
@@ -512,7 +518,7 @@ def aligned(docs: DataFrame, a: str, b: str, size: int = RANGE, fan: int = FAN)
                     yield _batch([row], RANGES)
 
     def fragments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair = Pair(*models.value)
+        pair = _pair(*models.value)
         for batch in batches:
             for r in batch.to_pylist():
                 found = pair.fragment(r["context"].decode(), r["at"], r["start"], r["end"])
