@@ -76,7 +76,8 @@ def build_index(docs: DataFrame, terms: DataFrame, width: int = WINDOW, pass_ter
     """
     passes = max(1, -(-terms.count() // pass_terms))
     split = _keyed(docs).select("doc_id", "key", words(F.col("text")).alias("w"))
-    tokens = split.select("doc_id", "key", "w", F.posexplode("w").alias("pos", "term"))
+    # The outer form, because the other adds a filter on the array's size, and so splits each text twice.
+    tokens = split.select("doc_id", "key", "w", F.posexplode_outer("w").alias("pos", "term"))
     first = F.greatest(F.col("pos") - (width - 1), F.lit(0))
     around = F.when(F.col("leads"), F.slice("w", first + 1, F.col("pos") - first + width))
     part = F.pmod(F.xxhash64("term"), F.lit(passes))
@@ -177,8 +178,15 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def uncontaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> DataFrame:
-    """The rows of ``docs`` without any window of ``items``, all columns as they were."""
+    """The rows of ``docs`` without any window of ``items``, all columns as they were.
+
+    NULL and empty texts stay; rows that repeat a doc_id are judged each by its own text; no rows
+    give no rows; other columns may have any names.
+    """
     _, probed, index = search(docs, items, width)
-    bad = written(exact_matches(index, probed).select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct())
-    same = (F.xxhash64("text") == F.col("_k")) & F.col("_d").eqNullSafe(F.col("doc_id"))
-    return docs.join(bad, same, "left_anti").select(docs.columns)
+    bad = written(exact_matches(index, probed).select("doc_id", "key").distinct())
+    # In structs, so that no column of the documents clashes with these.
+    bad = bad.select(F.struct("doc_id", "key").alias("bad"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = (F.xxhash64("row.text") == F.col("bad.key")) & F.col("bad.doc_id").eqNullSafe(F.col("row.doc_id"))
+    return rows.join(bad, same, "left_anti").select("row.*")
