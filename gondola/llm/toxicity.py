@@ -6,17 +6,22 @@ kernels. Letters put in between ("i.d-iot") only lengthen the span, so an insult
 them stays near. A Nystrom map of landmark strings turns the kernel into a short vector, on
 which a linear SVM is trained.
 
-Labels hold for documents. A document is a bag of sentences and a sentence a bag of words; a
-sentence's score is that of its worst word, a document's that of its worst sentence. Training
-starts from the word of each toxic document that is nearest to the landmarks and picks the
-worst words anew after each fit. The highest score becomes a probability by a fitted sigmoid.
+Labels hold for documents, so what in a toxic one is toxic must be found. The learning rows' words are
+counted by label; the positives are those whose link to label 1 is beyond chance among so many
+words, each with altered forms of it; the negatives are all words of clean documents, weighted by
+how many hold them. A toxic document without a significant word teaches the machine nothing. A
+document's words are each scored, and the highest scores, their sum and its share of all words
+become a probability by a logistic fit. That fit also sees some clean documents with one strong
+positive put in, labelled toxic, so one insult in a long clean text counts.
+
+The kernel reads words, not whole sentences or windows of neighbouring words (see the README).
+Words are counted, mapped and summed up for the fit by Spark tasks; the driver holds the
+positives, the landmarks and matrices of landmarks by landmarks.
 """
 
 from __future__ import annotations
 
-import heapq
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -30,21 +35,24 @@ HELD_OUT_MODULUS, HELD_OUT = 5, 0
 #: Bounds of the training sample: labelled rows of each label, taken in the order of a hash of the id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 2500
 DECAY = 0.75
-#: Common clean words beside the letter runs picked for toxic words, and where landmarks are cut.
-BENIGN_LANDMARKS, LANDMARK_LETTERS = 4, 8
-#: The most common clean words, among which those most like a pick are sought.
-NEAR_WORDS = 20_000
-#: Lengths of the letter runs that may become landmarks.
-GRAMS = (4, 5, 6)
+#: Bounds of the fit: the positives that are in the most toxic rows, the landmarks picked from them
+#: (as many clean words most like these come beside), common clean words as landmarks.
+POSITIVES, LANDMARKS, COMMON = 2048, 96, 8
+#: Share of a positive that no landmark picked before explains, under which none is picked.
+RESIDUAL = 0.2
+#: The most documents that count for a positive and for a clean word.
+TOXIC_WEIGHT, CLEAN_WEIGHT = 50, 20
+RIDGE, STEPS = 1e-5, 15
+#: Share of the clean documents of which a copy with a positive put in is learnt from, and the share of
+#: clean documents whose highest score stays under that of a *strong* word; only strong words are put in.
+PUT_IN, CLEAN_UNDER = 0.05, 0.995
 #: Longer words are read in overlapping pieces of this many letters.
 PIECE, STEP = 32, 16
-ROUNDS = 3
-#: Bound of the clean words that a fit uses; the words nearest to the landmarks come first.
-CLEAN_WORDS = 60_000
 KEPT_WORDS = 400_000
 BLOCK = 512
 #: Score of a text without words, and the least of any.
 FLOOR = -2.0
+MAPPED = 4096
 
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 MARKS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
@@ -157,61 +165,35 @@ def _divergence(share: np.ndarray | float, base: float) -> float:
     return share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base))
 
 
-def choose_landmarks(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """Letter runs that stand in toxic documents more often than chance allows among so many runs.
+def significant(toxic: Column, clean: Column, share: float, tried: int) -> Column:
+    """Whether a word of so many toxic and clean rows is in toxic ones beyond chance, among ``tried`` words.
 
-    Picking ends when no such run is left that is worth a document: each pick counts a document
-    half as much as the one before, so there are at most two picks for each toxic document of
-    the sample. For each pick come
-    the toxic word that holds it most often and the clean word most like it, for contrast, and
-    at last some of the most common clean words.
+    ``share`` is that of toxic rows among all. By the divergence of the word's own share from it,
+    against the logarithm of the number of words tried.
     """
-    grams = lambda bag: {w[i: i + n] for w in bag for n in GRAMS for i in range(len(w) - n + 1)}
-    holders: dict[str, list[int]] = {}
-    clean, in_toxic, in_clean = Counter(), Counter(), Counter()
-    for number in np.flatnonzero(toxic).tolist():
-        in_toxic.update(bags[number])
-        for gram in grams(bags[number]):
-            holders.setdefault(gram, []).append(number)
-    # A run of one document is never beyond chance; only the others are counted in clean ones.
-    tried = len(holders)
-    holders = {g: docs for g, docs in holders.items() if len(docs) > 1}
-    for number in np.flatnonzero(~toxic).tolist():
-        in_clean.update(bags[number])
-        clean.update(grams(bags[number]) & holders.keys())
-    base = float(np.clip(toxic.mean(), 0.01, 0.99))
-    least = np.log(tried + 1) + 2
-    usable = {}
-    for gram, docs in holders.items():
-        number = len(docs) + clean[gram]
-        share = len(docs) / number
-        if share > (1 + base) / 2 and number * _divergence(share, base) > least:
-            usable[gram] = docs
-    chosen: list[str] = []
-    weight = np.ones(len(bags))
-    while usable:
-        gain = {g: weight[docs].sum() * len(docs) / (len(docs) + clean[g]) for g, docs in usable.items()}
-        best = max(usable, key=lambda g: (round(gain[g], 6), len(g), g))
-        if gain[best] < 1:
+    total = toxic + clean
+    own = F.least(F.greatest(toxic / total, F.lit(1e-9)), F.lit(1 - 1e-9))
+    divergence = own * F.log(own / share) + (1 - own) * F.log((1 - own) / (1 - share))
+    return (toxic > 1) & (own > (1 + share) / 2) & (total * divergence > float(np.log(tried + 1) + 2))
+
+
+def pivots(words: list[str], most: int = LANDMARKS, residual: float = RESIDUAL) -> list[str]:
+    """The words that explain the others best in the kernel, one after the other: each is the one that
+    those before leave most of."""
+    left, columns, chosen = np.ones(len(words)), [], []
+    while len(chosen) < min(most, len(words)):
+        best = int(np.argmax(left))
+        if left[best] < residual:
             break
+        column = kernel(words, [words[best]])[:, 0].astype(np.float64)
+        for c in columns:
+            column -= c * c[best]
+        column /= np.sqrt(max(column[best], 1e-12))
+        columns.append(column)
+        left = np.maximum(left - column * column, 0)
         chosen.append(best)
-        weight[usable[best]] *= 0.5
-        # Runs that share letters with the pick would only pick the same words again.
-        parts = [best[i: i + 3] for i in range(len(best) - 2)]
-        usable = {g: docs for g, docs in usable.items() if not any(p in g for p in parts)}
-    common = sorted(in_clean, key=lambda w: (-in_clean[w], w))
-    marks = dict.fromkeys(chosen)
-    if chosen:
-        nearest = [w for w in common if 4 <= len(w) <= PIECE][:NEAR_WORDS]
-        alike = kernel(nearest, chosen) if nearest else np.zeros((0, len(chosen)))
-        for j, gram in enumerate(chosen):
-            holding = [w for w in in_toxic if gram in w and not in_clean[w]]
-            if holding:
-                marks[max(holding, key=lambda w: (in_toxic[w], w))[:LANDMARK_LETTERS]] = None
-            if len(nearest):
-                marks[nearest[int(np.argmax(alike[:, j]))][:LANDMARK_LETTERS]] = None
-    marks.update(dict.fromkeys([w[:LANDMARK_LETTERS] for w in common if len(w) >= 4][:BENIGN_LANDMARKS]))
-    return list(marks) or ["toxic"]
+        left[chosen] = 0
+    return [words[i] for i in chosen]
 
 
 def altered(word: str, rng: np.random.Generator) -> list[str]:
@@ -222,20 +204,28 @@ def altered(word: str, rng: np.random.Generator) -> list[str]:
     return [word[: at[0]] + letter + word[at[0]:], word[: at[1]] + "." + word[at[1]:]]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3, steps: int = 60) -> np.ndarray:
-    """Weights and bias of a linear SVM with squared hinge loss, by Newton steps on its active rows."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    penalty = np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-6
-    before = None
+def _sums(x: np.ndarray, y: float, weight: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """A Newton step's matrix and, as its last row, right side, over the rows within the margin."""
+    x = np.hstack([x.astype(np.float64), np.ones((len(x), 1))])
+    active = y * (x @ w) < 1
+    rows = x[active] * weight[active, None]
+    return np.vstack([rows.T @ x[active], y * rows.sum(0)])
+
+
+def _svm(rows: list[tuple[np.ndarray, float, np.ndarray]], more, size: int, ridge: float = RIDGE, steps: int = STEPS) -> np.ndarray:
+    """Weights and bias of a linear SVM with squared hinge loss, by Newton steps on its active rows.
+
+    ``rows``: mapped rows, label and weights; ``more(w)`` gives the sums (``_sums``) of all others.
+    """
+    w = np.zeros(size + 1)
+    penalty = np.diag([*[ridge] * size, 1e-9])
     for _ in range(steps):
-        active = y * (x @ w) < 1
-        if before is not None and (active == before).all():
+        total = more(w) + sum(_sums(*r, w) for r in rows)
+        step = np.linalg.solve(total[:-1] + penalty, total[-1])
+        done = np.abs(step - w).max() < 1e-5 * max(1, np.abs(step).max())
+        w = step
+        if done:
             break
-        before = active
-        rows = x[active] * weight[active, None]
-        w = np.linalg.solve(rows.T @ x[active] + np.diag(penalty), rows.T @ y[active])
     return w
 
 
@@ -251,11 +241,17 @@ def _sigmoid_fit(x: np.ndarray, label: np.ndarray) -> np.ndarray:
     return w
 
 
-def _features(scores: list[float] | np.ndarray) -> list[float]:
-    """Of a document's word scores: the highest, the second and how far they stand above the margin."""
-    top = sorted(scores, reverse=True)[:2]
-    top += [FLOOR] * (2 - len(top))
-    return [max(top[0], FLOOR), max(top[1], FLOOR), float(top[0] > 0), 1.0]
+def summary(scores: np.ndarray) -> tuple[float, float, float, int]:
+    """Of a document's word scores: the highest two, the sum of those above the margin, the number of words."""
+    top = np.sort(scores)[::-1][:2].tolist() + [FLOOR] * 2
+    return max(top[0], FLOOR), max(top[1], FLOOR), float(scores[scores > 0].sum()), len(scores)
+
+
+def _features(found: np.ndarray, strong: float) -> np.ndarray:
+    """What the logistic fit sees of summaries."""
+    first, second, total, number = found.reshape(-1, 4).T
+    columns = np.clip(first, -1, 2), np.clip(second, -1, 2), np.log1p(total), np.log((total + 0.05) / (number + 10))
+    return np.stack([*columns, first > strong, np.ones(len(first))], 1)
 
 
 class Model:
@@ -266,42 +262,37 @@ class Model:
         self.known: dict[str, float] = {}
         self.read: dict[str, float] = {}
 
-    def map(self, words: list[str]) -> np.ndarray:
-        return kernel(words, self.landmarks) @ self.root
-
-    def fit(self, bags: list[set[str]], toxic: np.ndarray) -> Model:
-        """``bags`` are documents' words, ``toxic`` their labels."""
-        forms = [sorted({r for token in bag for r in readings(token)}) for bag in bags]
-        self.landmarks = choose_landmarks([set(f) for f in forms], toxic)
-        values, vectors = np.linalg.eigh(kernel(self.landmarks, self.landmarks).astype(np.float64))
+    def at(self, landmarks: list[str]) -> Model:
+        """Set the landmarks of the Nystrom map."""
+        self.landmarks = landmarks
+        values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
         kept = values > 1e-3
         self.root = (vectors[:, kept] / np.sqrt(values[kept])).astype(np.float32)
-        words = sorted(set().union(*forms))
-        place = {w: i for i, w in enumerate(words)}
-        similar = kernel(words, self.landmarks)
-        mapped = similar @ self.root
-        highest, lowest = similar.max(1), similar.min(1)
-        del similar
-        members = [np.fromiter((place[w] for w in form), np.int64, len(form)) for form in forms]
-        of_clean = [m for m, t in zip(members, toxic) if not t]
-        clean = np.unique(np.concatenate([np.array([], np.int64), *of_clean]))
-        score = highest.astype(np.float64)
-        score[clean] = lowest[clean] - 1
-        rng = np.random.default_rng(0)
-        clean = clean[np.argsort(-highest[clean], kind="stable")][:CLEAN_WORDS]
-        for _ in range(ROUNDS):
-            worst = np.unique([m[np.argmax(score[m])] for m, t in zip(members, toxic) if t and len(m)]).astype(np.int64)
-            worst = np.setdiff1d(worst, clean)
-            changed = [a for i in worst for a in altered(words[i], rng)]
-            x = np.vstack([mapped[worst], self.map(changed) if changed else mapped[:0], mapped[clean]]).astype(np.float64)
-            y = np.concatenate([np.ones(len(worst) + len(changed)), -np.ones(len(clean))])
-            weight = np.concatenate([
-                np.full(len(worst), 1 / max(1, len(worst))), np.full(len(changed), 1.5 / max(1, len(changed))),
-                np.full(len(clean), 2 / max(1, len(clean)))])
-            self.weights = _svm(x, y, weight)
-            score = mapped @ self.weights[:-1].astype(np.float32) + self.weights[-1]
-        found = np.array([_features(score[m]) for m in members])
-        self.document = _sigmoid_fit(found, toxic.astype(np.float64))
+        return self
+
+    def map(self, words: list[str]) -> np.ndarray:
+        blocks = [kernel(words[i:i + MAPPED], self.landmarks) @ self.root for i in range(0, len(words), MAPPED)]
+        return np.vstack(blocks) if blocks else np.zeros((0, self.root.shape[1]), np.float32)
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        return self.map(words) @ self.weights[:-1].astype(np.float32) + np.float32(self.weights[-1])
+
+    def summaries(self, bags: list[set[str]]) -> np.ndarray:
+        self.learn(set().union(*bags))
+        found = [summary(np.fromiter(map(self.known.__getitem__, bag), np.float64, len(bag))) for bag in bags]
+        return np.array(found, np.float64).reshape(-1, 4)
+
+    def fit_documents(self, found: np.ndarray, toxic: np.ndarray, put_in: np.ndarray) -> Model:
+        """Fit the probability on documents' summaries; ``put_in`` are scores of positives no clean document has."""
+        clean = np.flatnonzero(~toxic)
+        self.strong = float(np.quantile(found[clean, 0], CLEAN_UNDER))
+        put_in = put_in[put_in > self.strong]
+        some = found[clean[:: round(1 / PUT_IN)]] if len(put_in) else found[:0]
+        new = np.resize(put_in, len(some))
+        first, second = np.maximum(some[:, 0], new), np.maximum(some[:, 1], np.minimum(some[:, 0], new))
+        some = np.stack([first, second, some[:, 2] + np.maximum(new, 0), some[:, 3] + 1], 1)
+        label = np.concatenate([toxic, np.ones(len(some), bool)]).astype(np.float64)
+        self.document = _sigmoid_fit(_features(np.vstack([found, some]), self.strong), label)
         return self
 
     def learn(self, wanted: set[str]) -> None:
@@ -314,31 +305,80 @@ class Model:
         if len(self.read) + len(words) > KEPT_WORDS:
             self.read, words = {}, list(set().union(*forms))
         if words:
-            values = self.map(words) @ self.weights[:-1].astype(np.float32) + np.float32(self.weights[-1])
-            self.read.update(zip(words, values.tolist()))
+            self.read.update(zip(words, self.word_scores(words).tolist()))
         self.known.update((t, max((self.read[f] for f in fs), default=FLOOR)) for t, fs in zip(new, forms))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """Probability of each text to be toxic."""
         if self.constant is not None or not texts:
             return np.full(len(texts), self.constant or 0.0)
-        bags = [tokens(t) for t in texts]
-        self.learn(set().union(*bags))
-        found = np.array([_features(heapq.nlargest(2, map(self.known.__getitem__, bag))) for bag in bags])
+        found = _features(self.summaries([tokens(t) for t in texts]), self.strong)
         return 1 / (1 + np.exp(-np.clip(found @ self.document, -30, 30)))
 
 
-def _bag_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(label, text) to (word, toxic, clean): the distinct readings of each text."""
     for batch in batches:
-        words = [" ".join(sorted(tokens(t))) for t in decoded(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words)], names=["label", "words"])
+        for label, text in zip(batch.column(0).to_pylist(), decoded(batch.column(1))):
+            words = sorted({r for token in tokens(text) for r in readings(token)})
+            columns = [pa.array(words, pa.string()), pa.array([label] * len(words), pa.int64()), pa.array([1 - label] * len(words), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "toxic", "clean"])
+
+
+def _contrast(words: DataFrame, landmarks: list[str]) -> list[str]:
+    """The word of ``words`` most like each landmark."""
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                some = batch.column(0).to_pylist()
+                alike = kernel(some, landmarks)
+                best = np.argmax(alike, 0)
+                columns = [pa.array(range(len(landmarks)), pa.int32()), pa.array(alike.max(0).astype(np.float64)), pa.array([some[i] for i in best])]
+                yield pa.RecordBatch.from_arrays(columns, names=["mark", "alike", "word"])
+
+    found = words.select("word").mapInArrow(nearest, "mark int, alike double, word string")
+    best = found.groupBy("mark").agg(F.max_by("word", F.struct("alike", "word")).alias("word"))
+    return sorted({r.word for r in best.collect()})
+
+
+def _mapped(words: DataFrame, model: Model) -> DataFrame:
+    """(weight, mapped) of clean words, stored."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = model.map(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array([row.tobytes() for row in x], pa.binary())], names=["weight", "mapped"])
+
+    weight = F.least("clean", F.lit(CLEAN_WEIGHT)).cast("double").alias("weight")
+    return written(words.select("word", weight).mapInArrow(run, "weight double, mapped binary"))
+
+
+def _distributed_sums(mapped: DataFrame, size: int, scale: float):
+    """``w`` to the Newton sums over all clean words, one matrix a task."""
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((size + 2, size + 1))
+            for batch in batches:
+                raw = b"".join(batch.column(1).to_pylist())
+                x = np.frombuffer(raw, np.float32).reshape(batch.num_rows, size)
+                total += _sums(x, -1.0, batch.column(0).to_numpy(zero_copy_only=False) * scale, w)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+        parts = mapped.mapInArrow(run, "sums binary").collect()
+        return sum((np.frombuffer(r.sums).reshape(size + 2, size + 1) for r in parts), np.zeros((size + 2, size + 1)))
+
+    return sums
 
 
 def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> Model:
     """Fit on a bounded sample of the labelled rows that are not held out.
 
-    ``labels`` (doc_id, toxic). Only the sample's distinct words reach the driver, of whole
-    texts. Without labelled rows of both kinds the model is the constant share of toxic ones.
+    ``labels`` (doc_id, toxic). The sample's words are counted and mapped by Spark, whole texts; the
+    driver holds at most ``POSITIVES`` words, the landmarks and four numbers of each sampled row.
+    Without labelled rows of both kinds, or without any word beyond chance, the model is the
+    constant share of toxic rows, under one half.
     """
     usable = labels.filter("doc_id is not null and toxic in (0, 1)")
     usable = usable.filter(crc_remainder(F.col("doc_id"), HELD_OUT_MODULUS) != HELD_OUT)
@@ -348,14 +388,51 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
         for value, bound in ((1, toxic), (0, clean))
     ]
     sample = written(chosen[0].unionByName(chosen[1]))
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
-        F.col("label").cast("int"), F.col("text").cast("string").cast("binary").alias("text"))
-    found = rows.mapInArrow(_bag_lines, "label int, words string").orderBy("words", "label").limit(2 * (toxic + clean)).collect()
-    label = np.array([r.label == 1 for r in found], bool)
-    if not label.any() or label.all():
-        return Model(constant=float(label.mean()) if len(label) else 0.0)
-    one: dict[str, str] = {}
-    return Model().fit([{one.setdefault(w, w) for w in r.words.split()} for r in found], label)
+    rows = written(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("id")).select(
+        F.col("label").cast("int"), F.col("text").cast("string").cast("binary").alias("text")))
+    number = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    share = number.get(1, 0) / max(1, sum(number.values()))
+    constant = Model(constant=min(share, 0.49) if number.get(0) else float(share > 0))
+    if not number.get(0) or not number.get(1):
+        return constant
+    words = rows.mapInArrow(_word_rows, "word string, toxic long, clean long").groupBy("word").agg(
+        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    words = written(words)
+    tried = words.filter("toxic > 0").count()
+    linked = significant(F.col("toxic"), F.col("clean"), float(np.clip(share, 0.01, 0.99)), tried)
+    best = words.filter(linked).orderBy(F.desc("toxic"), "word").limit(POSITIVES).collect()
+    if not best:
+        return constant
+    others = words.filter(~linked & (F.col("clean") > 0))
+    picked = pivots([r.word for r in best])
+    common = [r.word for r in others.filter(F.length("word") >= 4).orderBy(F.desc("clean"), "word").limit(COMMON).collect()]
+    model = Model().at(list(dict.fromkeys([*picked, *_contrast(others, picked), *common])))
+
+    rng = np.random.default_rng(0)
+    weight = np.minimum([float(r.toxic) for r in best], TOXIC_WEIGHT)
+    forms = [(form, w) for r, w in zip(best, weight) for form in altered(r.word, rng)]
+    in_clean = others.agg(F.sum(F.least("clean", F.lit(CLEAN_WEIGHT)))).first()[0] or 0
+    scale = 1 / (weight.sum() + sum(w for _, w in forms) + in_clean + sum(r.clean for r in best))
+    x = model.map([r.word for r in best])
+    size = x.shape[1]
+    own = [(x, 1.0, weight * scale), (x, -1.0, np.array([float(r.clean) for r in best]) * scale)]
+    if forms:
+        own.append((model.map([f for f, _ in forms]), 1.0, np.array([w for _, w in forms]) * scale))
+    model.weights = _svm(own, _distributed_sums(_mapped(others, model), size, scale), size)
+
+    def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = model.summaries([tokens(t) for t in decoded(batch.column(1))])
+            columns = [batch.column(0), *[pa.array(c) for c in found.T]]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "a", "b", "c", "d"])
+
+    found = rows.mapInArrow(summarised, "label int, a double, b double, c double, d double").orderBy("label", "a", "b", "c", "d").collect()
+    found = np.array([tuple(r) for r in found])
+    pure = [form for r in best if not r.clean for form in (r.word, *altered(r.word, rng))]
+    put_in = np.sort(model.word_scores(pure)) if pure else np.zeros(0)
+    model.fit_documents(found[:, 1:], found[:, 0] == 1, rng.permutation(put_in))
+    model.known, model.read = {}, {}
+    return model
 
 
 def scored(model: Model, text: Column, spark) -> Column:
@@ -400,6 +477,10 @@ def report(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def acceptable(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` scored under one half, all columns as they were."""
+    """The rows of ``docs`` scored under one half, all columns as they were.
+
+    NULL and empty texts score as having no words; repeated rows are scored alike; no rows, or no
+    labels to learn from, keep all rows.
+    """
     model = train(docs, labels)
     return docs.filter(scored(model, F.col("text"), docs.sparkSession) < 0.5)
