@@ -6,6 +6,7 @@ Functions that use a value more than once take it stripped. Callers strip in a
 
 from __future__ import annotations
 
+import functools
 import unicodedata
 
 from pyspark.sql import Column, functions as F
@@ -59,31 +60,45 @@ def plain_text(text: str) -> str:
     return _plain(text)
 
 
-def _latin_accents() -> tuple[str, str, list[tuple[str, str]]]:
-    """Translation tables for the Latin blocks, derived from the Unicode data."""
-    source, target, longer = [], [], []
-    blocks = [(0x00A0, 0x024F), (0x1E00, 0x1EFF), (0xFF01, 0xFF5E)]
-    for first, last in blocks:
-        for ch in map(chr, range(first, last + 1)):
-            base = _plain(ch)
-            if base == ch:
-                continue
-            if len(base) == 1:
-                source.append(ch)
-                target.append(base)
-            else:
-                longer.append((ch, base))
-    return "".join(source), "".join(target), longer
+#: No character beyond has a decomposition or a combining class.
+_LAST = 0x30000
 
 
-_SOURCE, _TARGET, _LONGER = _latin_accents()
+@functools.cache
+def _decompositions() -> tuple[str, str, str, tuple[str, ...]]:
+    """From the Unicode data: characters that become one other or none, what they become (nothing for
+    those at the end), and characters that become several, with their first, second, ... characters
+    (fewer for those at the end)."""
+    changed = {}
+    for code in range(0x80, _LAST):
+        ch = chr(code)
+        if not 0xD800 <= code < 0xE000 and (base := _plain(ch)) != ch:
+            changed[ch] = base
+    single = sorted((ch for ch, base in changed.items() if len(base) < 2), key=lambda ch: not changed[ch])
+    several = sorted((ch for ch, base in changed.items() if len(base) > 1), key=lambda ch: -len(changed[ch]))
+    most = max(map(len, changed.values()))
+    places = tuple("".join(changed[ch][i] for ch in several if len(changed[ch]) > i) for i in range(most))
+    return "".join(single), "".join(changed[ch] for ch in single), "".join(several), places
+
+
+def _character_class(characters: str) -> str:
+    """A pattern for any of some characters, as ranges."""
+    codes, parts = sorted(map(ord, characters)), []
+    start = last = codes[0]
+    for code in [*codes[1:], -1]:
+        if code != last + 1:
+            parts.append(f"\\x{{{start:X}}}-\\x{{{last:X}}}")
+            start = code
+        last = code
+    return "[" + "".join(parts) + "]"
 
 
 def strip_accents(text: Column) -> Column:
-    """Compatibility-decompose and drop combining marks, for Latin text."""
-    plain = F.translate(F.regexp_replace(text, r"\p{M}+", ""), _SOURCE, _TARGET)
-    several = "[" + "".join(ch for ch, _ in _LONGER) + "]"
-    expanded = plain
-    for ch, base in _LONGER:
-        expanded = F.replace(expanded, F.lit(ch), F.lit(base))
-    return F.when(plain.rlike(several), expanded).otherwise(plain)
+    """Compatibility-decompose and drop characters with a combining class, in every script."""
+    single, plain, several, places = _decompositions()
+    once = F.translate(text, single, plain)
+    # One character becomes the concatenation of its first, second, ... characters.
+    spread = F.transform(F.split(once, ""), lambda ch: F.when(
+        ch.rlike(_character_class(several)), F.concat(*[F.translate(ch, several, p) for p in places])).otherwise(ch))
+    rare = F.when(once.rlike(_character_class(several)), F.array_join(spread, "")).otherwise(once)
+    return F.when(F.octet_length(text) == F.length(text), text).otherwise(rare)

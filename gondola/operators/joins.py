@@ -29,15 +29,19 @@ def number_form(value: Column, kind: DataType) -> Column:
 
     Nothing is rounded. Text counts without white space around it, in plain or scientific
     notation; what is no number, or has an exponent beyond 18 digits, is NULL. A whole
-    floating-point number stands for its exact value (up to 38 digits), any other for the
+    floating-point number stands for its exact value (up to 2^124), any other for the
     shortest decimal that names it, as it is shown. Zeros have no sign. NaN and infinities
     equal themselves only.
     """
     text = strip(value.cast("string"))
     if isinstance(kind, (FloatType, DoubleType)):
-        whole = value.cast("double").try_cast(DecimalType(38, 0))
-        exact = F.when(whole.cast("double") == value.cast("double"), whole.cast("string"))
-        text = F.coalesce(F.when(F.abs(value) >= F.lit(1.0), exact), text)
+        # Halves of 62 bits, as casting a double to a decimal goes by its shortest digits.
+        size, step = F.abs(value.cast("double")), float(1 << 62)
+        high = F.floor(size / step)
+        low = (size - high.cast("double") * step).try_cast("bigint")
+        exact = high.cast(DecimalType(38, 0)) * F.lit(1 << 62).cast(DecimalType(19, 0)) + low.cast(DecimalType(19, 0))
+        exact = F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), exact.cast("string"))
+        text = F.when((size < F.lit(float(1 << 124))) & (F.rint(size) == size), exact).otherwise(text)
     parts = F.regexp_extract(text, NUMBER, 1), F.regexp_extract(text, NUMBER, 2), F.regexp_extract(text, NUMBER, 3)
     digits = F.ltrim(F.replace(parts[1], F.lit("."), F.lit("")), F.lit("0"))
     decimals = F.when(parts[1].contains("."), F.length(parts[1]) - F.instr(parts[1], ".")).otherwise(0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from gondola.operators.schema import SOURCE_ORDER, quoted
 from gondola.session import written
@@ -70,21 +70,37 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(renamed, condition, "inner").drop(*[f"_r_{k}" for k in keys])
 
 
-def file_order(df: DataFrame, group_by: Sequence[str] = (), out: str = "index") -> DataFrame:
+#: Row ids of a file block that one task numbers.
+BUCKET = 1 << 16
+
+
+def file_order(df: DataFrame, group_by: Sequence[str] = (), out: str = "index", bucket: int = BUCKET) -> DataFrame:
     """Number the rows 1..n per group in the order in which their files hold them.
 
-    No range sort: a row's number is the count of rows in the file blocks before its own plus
-    its place in that block. A block is what one task reads, so no group of rows is larger;
-    the counts are one row per block. ``df`` should be stored, as it is read twice.
+    No range sort. A block of a file is cut into buckets of ``bucket`` row ids, so no task
+    numbers more rows than that however large a block is; a row's number is the count of rows in
+    the blocks before, plus that in the buckets before in its block, plus its place in the
+    bucket. The counts are one row per bucket. ``df`` should be stored, as it is read twice.
     """
-    block = [*group_by, *SOURCE_ORDER[:2]]
-    names = [quoted(c) for c in block]
-    counts = written(df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
-    before = Window.partitionBy(*[quoted(c) for c in group_by]).orderBy(*SOURCE_ORDER[:2]).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*names, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy(*names).orderBy(SOURCE_ORDER[2]))
-    joined = _join_null_safe(df.withColumn("_place", place), starts, block)
-    return joined.select(*[F.col(quoted(c)) for c in df.columns], (F.col("_start") + F.col("_place")).alias(out))
+    names = [quoted(c) for c in group_by]
+    file, block, row = SOURCE_ORDER
+    df = df.withColumn("_bucket", F.floor(F.col(row) / bucket))
+    of_bucket = [*group_by, file, block, "_bucket"]
+    counts = written(df.groupBy(*[quoted(c) for c in of_bucket]).agg(F.count(F.lit(1)).alias("_n")))
+    blocks = counts.groupBy(*names, file, block).agg(F.sum("_n").alias("_n"))
+
+    def before(*partition: str) -> WindowSpec:
+        return Window.partitionBy(*partition).rowsBetween(Window.unboundedPreceding, -1)
+
+    sum_before = lambda window: F.coalesce(F.sum("_n").over(window), F.lit(0))
+    blocks = blocks.select(*names, file, block, sum_before(before(*names).orderBy(file, block)).alias("_blocks"))
+    inside = counts.withColumn("_buckets", sum_before(before(*names, file, block).orderBy("_bucket")))
+    starts = _join_null_safe(inside, blocks, [*group_by, file, block])
+    starts = written(starts.select(*[quoted(c) for c in of_bucket], (F.col("_blocks") + F.col("_buckets")).alias("_start")))
+    place = F.row_number().over(Window.partitionBy(*[quoted(c) for c in of_bucket]).orderBy(row))
+    joined = _join_null_safe(df.withColumn("_place", place), starts, of_bucket)
+    wanted = [F.col(quoted(c)) for c in df.columns if c != "_bucket"]
+    return joined.select(*wanted, (F.col("_start") + F.col("_place")).alias(out))
 
 
 def _numbered(

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gondola.functions.numbers import is_bad_number
 from gondola.functions.text import strip
-from gondola.operators.numbering import running_total
 from gondola.operators.schema import quoted
 from gondola.session import written
 
@@ -66,12 +66,17 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(quoted(column)).distinct()
 
 
+#: Distinct values among which a rank is looked up in one window, and bins of a narrowing pass.
+FEW, BINS = 1 << 16, 4096
+
+
 def numeric_profile(df: DataFrame, column: str, group_by: Sequence[str] = ()) -> DataFrame:
     """count, mean, std, min, quartiles and max of a numeric column per group, as doubles.
 
-    NULL and NaN do not count. Mean and std are Spark's own, so their last digits may depend
-    on the order of the rows. The quartiles (linear between neighbours) are exact: they come
-    from running counts of the distinct values rather than from a sketch or a collected group.
+    NULL and NaN do not count. The rows are read once, to count the distinct values; all the
+    rest comes from those. The quartiles (linear between neighbours) are exact, by selection
+    instead of sorting: histograms, which add up over tasks, narrow the place of each rank
+    until it holds ``FEW`` values.
     """
     value = F.col(quoted(column)).cast("double")
     rows = df.filter(value.isNotNull() & ~F.isnan(value))
@@ -81,45 +86,85 @@ def numeric_profile(df: DataFrame, column: str, group_by: Sequence[str] = ()) ->
     shown = [quoted(c) for c in group_by]
     group_by = list(group_by) or ["_all"]
     keys = [quoted(c) for c in group_by]
-    rows = rows.select(*keys, value.alias("_v"))
-    moments = written(rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("_v").alias("mean"), F.stddev_samp("_v").alias("std"),
-        F.min("_v").alias("min"), F.max("_v").alias("max"),
-    ))
-    values = written(rows.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    upto = running_total(values, ["_v"], group_by, weight="_c", out="_upto", stored=True)
-    ranked = _match(upto, moments.select(*keys, "n"), group_by)
-
-    # Position q*(n-1), counted from 0, lies between two neighbouring ranks. A value
-    # covers the ranks (_upto - _c, _upto].
-    def holds(rank: Column) -> Column:
-        return (F.col("_upto") - F.col("_c") <= rank) & (rank < F.col("_upto"))
-
-    ends = []
-    for q in (1, 2, 3):
-        low = F.expr(f"({q} * (n - 1)) div 4")
-        high = F.expr(f"({q} * (n - 1) + 3) div 4")
-        ends += [
-            F.max(F.when(holds(low), F.col("_v"))).alias(f"_lo{q}"),
-            F.max(F.when(holds(high), F.col("_v"))).alias(f"_hi{q}"),
-        ]
-    quartiles = ranked.groupBy(*keys).agg(*ends)
-    def quartile(q: int) -> Column:
-        share = F.expr(f"({q} * (n - 1)) % 4") / 4.0
-        low, high = F.col(f"_lo{q}"), F.col(f"_hi{q}")
-        return F.when(low == high, low).otherwise(low + (high - low) * share)
-
-    return _match(moments, quartiles, group_by).select(
-        *shown,
-        F.col("n"),
-        "mean",
-        "std",
-        F.col("min"),
-        quartile(1).alias("q25"),
-        quartile(2).alias("q50"),
-        quartile(3).alias("q75"),
-        F.col("max"),
+    values = written(rows.select(*keys, value.alias("_v")).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    sums = values.groupBy(*keys).agg(
+        F.sum("_c").alias("n"), (F.sum(F.col("_v") * F.col("_c")) / F.sum("_c")).alias("mean"),
+        F.min("_v").alias("min"), F.max("_v").alias("max"), F.count(F.lit(1)).alias("_distinct"),
+    )
+    sums = written(sums)
+    apart = F.col("_v") - F.col("mean")
+    squares = _match(values, sums.select(*keys, "mean"), group_by).groupBy(*keys).agg(F.sum(apart * apart * F.col("_c")).alias("_squares"))
+    moments = _match(sums, squares, group_by)
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("_squares") / (F.col("n") - 1)))
+    quartiles = _quartiles(values, sums, group_by)
+    return _match(moments, quartiles, group_by).select(*shown, "n", "mean", std.alias("std"), "min", "q25", "q50", "q75", "max")
+
+
+def _quartiles(values: DataFrame, sums: DataFrame, group_by: Sequence[str]) -> DataFrame:
+    """Per group q25, q50 and q75 of ``values`` (the group, _v, _c), of which ``sums`` has n, min, max and _distinct."""
+    keys = [quoted(c) for c in group_by]
+    # Position q*(n-1)/4, counted from 0, lies between the two neighbouring ranks _low and _high.
+    ranks = sums.select(*keys, "n", "_distinct", F.col("min").alias("_from"), F.col("max").alias("_to"), F.explode(F.array(*map(F.lit, (1, 2, 3)))).alias("_q"))
+    ranks = ranks.select(
+        *keys, "_q", "_from", "_to", "_distinct", F.expr("(_q * (n - 1)) div 4").alias("_low"),
+        F.expr("(_q * (n - 1) + 3) div 4").alias("_high"), (F.expr("(_q * (n - 1)) % 4") / 4.0).alias("_share"),
+        F.lit(0).cast("bigint").alias("_before"),
+    )
+    ranks, curved = written(ranks), True
+    while not ranks.filter(F.col("_distinct") > FEW).isEmpty():
+        ranks, curved = _narrowed(values, ranks, group_by, curved), False
+    inside = _inside(values, ranks, group_by)
+    upto = F.col("_before") + F.sum("_c").over(Window.partitionBy(*keys, "_q").orderBy("_v"))
+    # A value covers the ranks [_upto - _c, _upto).
+    holds = lambda rank: (F.col("_upto") - F.col("_c") <= F.col(rank)) & (F.col(rank) < F.col("_upto"))
+    ends = inside.withColumn("_upto", upto).groupBy(*keys, "_q").agg(
+        F.max(F.when(holds("_low"), F.col("_v"))).alias("_lo"), F.max(F.when(holds("_high"), F.col("_v"))).alias("_hi"),
+        F.first("_share").alias("_share"),
+    )
+    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(
+        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_share"))
+    of = lambda q: F.max(F.when(F.col("_q") == q, between))
+    return ends.groupBy(*keys).agg(of(1).alias("q25"), of(2).alias("q50"), of(3).alias("q75"))
+
+
+def _inside(values: DataFrame, ranks: DataFrame, group_by: Sequence[str]) -> DataFrame:
+    return _match(values, ranks, group_by).filter((F.col("_v") >= F.col("_from")) & (F.col("_v") <= F.col("_to")))
+
+
+def _narrowed(values: DataFrame, ranks: DataFrame, group_by: Sequence[str], curved: bool) -> DataFrame:
+    """``ranks`` with the range of values that still holds each cut down to its bins of a histogram.
+
+    The first pass bins by a logarithm, which spreads values of any size; the next ones evenly
+    between the least and the greatest value left, which always fall into different bins.
+    """
+    largest = F.lit(sys.float_info.max)
+    finite = lambda name: F.least(F.greatest(F.col(name), -largest), largest)
+    scale = (lambda name: F.signum(finite(name)) * F.log1p(F.abs(finite(name)))) if curved else finite
+    keys = [*[quoted(c) for c in group_by], "_q"]
+    wide = ranks.filter(F.col("_distinct") > FEW)
+    share = F.try_divide(scale("_v") - scale("_from"), scale("_to") - scale("_from"))
+    share = F.coalesce(share, F.when(F.col("_v") > F.col("_from"), 1.0).otherwise(0.0))
+    binned = _inside(values, wide, group_by).withColumn("_bin", F.least(F.floor(share * BINS), F.lit(BINS - 1)))
+    state = ["_low", "_high", "_share", "_before"]
+    bins = binned.groupBy(*keys, "_bin").agg(
+        F.sum("_c").alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to"), F.count(F.lit(1)).alias("_distinct"),
+        F.max_by("_c", "_v").alias("_last"), *[F.first(c).alias(c) for c in state],
+    )
+    start = F.col("_before") + F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bin")) - F.col("_n")
+    kept = bins.withColumn("_start", start).filter((F.col("_start") <= F.col("_high")) & (F.col("_low") < F.col("_start") + F.col("_n")))
+    # Both ranks in one bin, or the lower one the last of its bin and the upper one the first of the next.
+    cut = kept.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in state[:-1]], F.count(F.lit(1)).alias("_bins"), F.sum("_distinct").alias("_distinct"),
+        F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.min("_to").alias("_end"), F.max("_from").alias("_begin"),
+        F.min("_start").alias("_before"), F.max("_start").alias("_next"), F.min_by("_last", "_bin").alias("_last"),
+    )
+    two = F.col("_bins") == 2
+    cut = cut.select(
+        *keys, *state[:-1], F.when(two, F.lit(2)).otherwise(F.col("_distinct")).cast("bigint").alias("_distinct"),
+        F.when(two, F.col("_end")).otherwise(F.col("_from")).alias("_from"), F.when(two, F.col("_begin")).otherwise(F.col("_to")).alias("_to"),
+        F.when(two, F.col("_next") - F.col("_last")).otherwise(F.col("_before")).alias("_before"),
     )
+    return written(ranks.filter(F.col("_distinct") <= FEW).unionByName(cut.select(ranks.columns)))
 
 
 def _match(left: DataFrame, right: DataFrame, group_by: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from gondola.operators import promotion, replace, sinks
+from gondola.operators import numbering, promotion, replace, sinks
 from gondola.operators.store import Store
 from gondola.plans import chain, panel
 from gondola.session import shared_dir, written
@@ -39,12 +39,55 @@ def test_dialects_and_cells(spark, tmp_path):
     assert rows(got.select("fecha", "código", "nota")) == [
         ("1", "x", "l1\nl2"), ("2", None, 'dijo "si"'), ("3", "y", None), ("4", "caña€", None), ("5,5", "zé", None), ("6", "w", None),
     ]
-    kinds = {r.path[-5:]: (r.encoding, r.separator) for r in feeds.detect_dialects(spark, paths, "panel").collect()}
-    assert kinds == {"1.csv": ("UTF-8", ","), "b.csv": ("UTF-8", ","), "c.csv": ("ISO-8859-1", ","), "d.csv": ("UTF-16", "\t")} or kinds["d.csv"][0] == "UTF-16"
+    kinds = {p[-5:]: (d.encoding, d.separator, d.multi_line) for p, d in feeds.detect_dialects(spark, paths, "panel").items()}
+    assert kinds == {"1.csv": (feeds.BYTES, ",", True), "b.csv": (feeds.BYTES, ",", False), "c.csv": (feeds.BYTES, ",", False), "d.csv": ("UTF-16LE", "\t", False)}
     with pytest.raises(KeyError):
         feeds.read_feed(spark, paths[1:2], required=["total"])
 
 
+def test_a_feed_is_read_once_and_only_when_it_is_used(spark, tmp_path):
+    paths = [put(tmp_path, f"{i}.csv", f"a;b\n{i};caña\n".encode(e)) for i, e in enumerate(["utf-8", "cp1252", "utf-16"] * 3)]
+    spark.sparkContext.setJobGroup("feed", "feed")
+    try:
+        got = feeds.read_feed(spark, [str(tmp_path)])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("feed")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(got.inputFiles()) == sorted(f"file://{p}" for p in paths)
+    assert sorted(r.b or r["a;b"] for r in got.collect())[:1] and {r.b for r in got.collect() if r.b} == {"caña"}
+
+
+def test_cells_of_one_file_in_two_encodings(spark, tmp_path):
+    path = put(tmp_path, "m.csv", b"x,y\n" + "uno,ñandú\n".encode() + "dos,ñandú€\n".encode("cp1252") + b"tres\n,,\n")
+    assert rows(feeds.read_feed(spark, [path]).select("x", "y")) == [("dos", "ñandú€"), ("tres", None), ("uno", "ñandú"), (None, None)]
+
+
+def test_a_record_that_spans_lines_behind_the_first_bytes_is_no_silent_error(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "HEAD", 64)
+    path = put(tmp_path, "l.csv", ("a,b\n" + "1,2\n" * 100 + '3,"l1\nl2"\n').encode())
+    with pytest.raises(Exception, match="multi_line=True"):
+        feeds.read_feed(spark, [path]).collect()
+    got = feeds.read_feed(spark, [path], multi_line=True)
+    assert got.count() == 101 and got.filter("a = '3'").first().b == "l1\nl2"
+
+
+@pytest.mark.parametrize("encoding, mark", [("utf-16-le", b"\xff\xfe"), ("utf-16-be", b"\xfe\xff"), ("utf-16-le", b"")])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_utf16_files_are_split_and_numbered_in_file_order(spark, tmp_path, encoding, mark, end):
+    lines = ["Año\tNombre", *[f"{i}\tcañón Ċ{i}" for i in range(3000)]]
+    path = put(tmp_path, "u.csv", mark + (end.join(lines) + end).encode(encoding))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        feed = feeds.read_feed(spark, [path], "panel")
+        assert feed.rdd.getNumPartitions() > 3
+        stored = written(feed)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    got = numbering.file_order(stored, bucket=100).orderBy("index").collect()
+    assert [(r["index"], r.ano, r.nombre) for r in got] == [(i + 1, str(i), f"cañón Ċ{i}") for i in range(3000)]
+
+
 def test_source_position_is_a_total_order_in_file_order(spark, tmp_path):
     body = "v\n" + "".join(f"{i}\n" for i in range(1000))
     path = put(tmp_path, "x.csv", body.encode())

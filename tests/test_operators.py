@@ -1,5 +1,6 @@
 """Operators on small rows: invariants, skew, plans and brute-force comparisons."""
 
+import random
 import statistics
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gondola.operators import dedup, dimensions, joins, numbering, promotion, quality, replace, schema
 from gondola.sources import tables
+from gondola.session import written
 from workload.queries import chain_tagged
 from gondola.plans import chain
 
@@ -255,12 +257,22 @@ def test_queue_keys_are_unique_and_not_in_the_dimension(spark):
     (["0", "1"], ["-0", "1"], ("double", "float"), 2),
     (["5", "6"], ["5", "7"], ("int", "bigint"), 1),
     (["5", "6"], ["5.5", "6"], ("int", "double"), 1),
+    (["5.00000000001", "5.000", " +5e0 ", "-0.0"], ["5", "0"], ("string", "int"), 3),
+    (["9007199254740993", "9007199254740992"], ["9007199254740992"], ("bigint", "double"), 1),
+    (["1152921504606846976"], ["1152921504606846976"], ("bigint", "double"), 1),
+    (["12345678901234567890123456789012345", "1e-40", "1e40"], ["12345678901234567890123456789012345"], ("string", "decimal(38,0)"), 1),
+    (["99999999999999999999999999999999999999"], ["1.5", "1"], ("decimal(38,0)", "decimal(38,10)"), 0),
+    (["12345678901234567890123456789", "1200.50"], ["12345678901234567890123456789", "1200.5"], ("decimal(38,2)", "decimal(38,5)"), 2),
+    (["0.1", "1e400", "NaN", "2.50e1"], ["0.1", "25", "Infinity", "NaN"], ("string", "double"), 2),
+    (["20769187434139310514121985316880384"], ["20769187434139310514121985316880384"], ("string", "double"), 1),
 ])
 def test_keys_of_different_types(spark, left, right, kinds, joined):
     fact = spark.createDataFrame([(x,) for x in left], "k string").select(F.col("k").cast(kinds[0]).alias("k"))
     dim = spark.createDataFrame([(x,) for x in right], "k string").select(F.col("k").cast(kinds[1]).alias("d"))
     both, unmatched = joins.validated_join(fact, dim, "k", "d")
     assert both.count() == joined and unmatched.count() == len(left) - joined
+    other, rest = joins.validated_join(dim, fact, "d", "k", dedup_dim=False)
+    assert other.count() == joined and rest.count() <= len(right)
 
 
 def test_keys_that_do_not_compare(spark):
@@ -278,6 +290,37 @@ def test_profile_of_any_doubles(spark):
     assert huge.n == 3 and huge.q50 == 3e17 and huge.max == float("inf")
 
 
+@pytest.mark.parametrize("few, bins", [(1 << 16, 4096), (3, 512)])
+def test_quartiles_by_narrowing_histograms(spark, monkeypatch, few, bins, plan_of):
+    monkeypatch.setattr(quality, "FEW", max(few, 2))
+    monkeypatch.setattr(quality, "BINS", bins)
+    rnd = random.Random(few)
+    of = {
+        "even": [float(i) for i in range(40)], "copies": [1.0] * 30 + [2.0] * 9, "one": [7.5], None: [-3.0, 4.0],
+        "wide": [rnd.choice([-1, 1]) * 10 ** rnd.uniform(-300, 300) for _ in range(60)],
+        "near": [1 + i * 2 ** -52 for i in range(20)] * 2, "ends": [float("inf"), float("-inf"), 0.0, -0.0, 5.0],
+    }
+    rows_ = [(g, v) for g, vs in of.items() for v in vs] + [("even", None), ("even", float("nan"))]
+    got = quality.numeric_profile(spark.createDataFrame(rows_, "g string, v double"), "v", ["g"])
+    assert "rangepartitioning" not in plan_of(got)
+    found = {r.g: r for r in got.collect()}
+    assert found.keys() == of.keys()
+    for g, vs in of.items():
+        vs = sorted(vs)
+        assert (found[g].n, found[g].min, found[g].max) == (len(vs), vs[0], vs[-1])
+        for q, name in ((1, "q25"), (2, "q50"), (3, "q75")):
+            at, share = divmod(q * (len(vs) - 1), 4)
+            low, high = vs[at], vs[min(at + (share > 0), len(vs) - 1)]
+            assert found[g][name] == (low if low == high else low + (high - low) * (share / 4)), (g, name)
+
+
+def test_one_block_is_numbered_by_several_tasks(spark):
+    df = spark.range(5000).select(F.lit("/f").alias("source_file"), F.lit(0).cast("bigint").alias("source_block"), (F.col("id") * 3).alias("source_row"))
+    got = numbering.file_order(written(df), bucket=300).withColumn("task", F.spark_partition_id())
+    assert got.filter("index <> source_row div 3 + 1").count() == 0
+    assert got.select("task").distinct().count() > 1
+
+
 def test_numbers_in_file_order_without_a_range_sort(spark, plan_of):
     given = [(g, f, b, r) for f in ("/b", "/a") for b in (0, 100) for r in (7, 3, 5, 40) for g in ("x", "y", None) if (r + b) % 3 or g == "x"]
     df = spark.createDataFrame(given, "g string, source_file string, source_block bigint, source_row bigint").repartition(5)

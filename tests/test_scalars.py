@@ -1,6 +1,7 @@
 """Edge cases of the scalar functions, expected values written by hand."""
 
 import datetime
+import unicodedata
 
 import pytest
 from pyspark.errors import PySparkException
@@ -158,3 +159,19 @@ def test_chain_measures(spark):
     assert got["PANALES"].fardos == 30.0 * 2.0 * (30 / 1000000 / 0.0058)
     assert (got["CIGARRILLOS"].cajas, got["CIGARRILLOS"].unidades, got["CIGARRILLOS"].kilos) == (20.0 * 2.0 / 10000, 2.0, None)
     assert (got["YERBA"].kilos, got["YERBA"].fardos, got["YERBA"].cajas) == (1.0, None, None)
+
+
+def test_accents_of_every_assigned_character(spark):
+    given = [chr(c) for c in range(1, 0xF0000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    texts = ["a" + "b".join(given[i:i + 200]) + "c" for i in range(0, len(given), 200)] + ["", "plain", None]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", text.strip_accents(F.col("t")).alias("t"))
+    for row in got.collect():
+        given = texts[row.i]
+        want = given and "".join(c for c in unicodedata.normalize("NFKD", given) if not unicodedata.combining(c))
+        assert row.t == want
+
+
+def test_accents_beyond_latin(spark):
+    pairs = {"Ελλάδα": "Ελλαδα", "ёлка Й": "елка И", "ﬁn ½": "fin 1⁄2", "한": "\u1112\u1161\u11ab", "𝐀１": "A1", "कि": "कि", "e\u0301": "e"}
+    got = spark.createDataFrame([(k,) for k in pairs], "t string").select("t", text.strip_accents(F.col("t")).alias("p"))
+    assert {r.t: r.p for r in got.collect()} == pairs
