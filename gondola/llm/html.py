@@ -107,21 +107,52 @@ class Block:
         self.path, self.names, self.text, self.linked = path, names, text, linked
 
 
+class _Inline:
+    """A link or span: whether its names mark it as no content, or hide it, and whether it was closed in its block."""
+
+    __slots__ = ("tag", "hidden", "marked", "closed")
+
+    def __init__(self, tag: str, standing: str):
+        self.tag, self.hidden, self.closed = tag, standing == "!", False
+        self.marked = standing in ("!", "=", "-")
+
+
+def _without_marked_ends(parts: list[tuple[str, bool, _Inline | None]]) -> list[tuple[str, bool, _Inline | None]]:
+    """A block's text without hidden pieces, and without marked links and spans at its start and end.
+
+    A share or skip link stands there; within a sentence a name says nothing. What was not closed
+    before the block ended is no element around the text.
+    """
+    drops = lambda p: not p[0].strip() or p[2] is not None and p[2].closed
+    shown = [p for p in parts if p[2] is None or not (p[2].hidden and p[2].closed)]
+    if not any(p[2] is not None for p in shown):
+        return shown
+    start, end = 0, len(shown)
+    while start < end and drops(shown[start]):
+        start += 1
+    while end > start and drops(shown[end - 1]):
+        end -= 1
+    return shown[start:end]
+
+
 def blocks(page: str) -> list[Block]:
     """The visible text blocks in page order; unclosed and unmatched tags are taken as browsers do."""
     stack: list[tuple[str, int, bool]] = []  # tag, element number, silent below
     names: list[str] = []
     found: list[Block] = []
-    parts: list[tuple[str, bool]] = []
+    parts: list[tuple[str, bool, _Inline | None]] = []
+    inline: list[_Inline] = []
     links, number, at = 0, 0, 0
     silent = 0
 
     def flush() -> None:
+        inline.clear()
         if not parts:
             return
-        text = SPACE.sub(" ", entities.unescape("".join(p for p, _ in parts))).strip()
+        kept = _without_marked_ends(parts)
+        text = SPACE.sub(" ", entities.unescape("".join(p for p, *_ in kept))).strip()
         if text:
-            linked = sum(len(SPACE.sub(" ", p)) for p, inside in parts if inside)
+            linked = sum(len(SPACE.sub(" ", p)) for p, inside, _ in kept if inside)
             found.append(Block(tuple(e for _, e, _ in stack), tuple(names), text, linked))
         parts.clear()
 
@@ -138,24 +169,28 @@ def blocks(page: str) -> list[Block]:
         m = TOKEN.search(page, at)
         stop = m.start() if m else end
         if stop > at and not silent:
-            parts.append((page[at:stop], links > 0))
+            parts.append((page[at:stop], links > 0, next((i for i in inline if i.marked), None)))
         if not m:
             break
         at = m.end()
         tag = (m[2] or "").lower()
         if not tag:
             if m[0].startswith("<![CDATA[") and not silent:
-                parts.append((m[0][9:-3], links > 0))
+                parts.append((m[0][9:-3], links > 0, None))
             continue
         closing, attributes = m[1] == "/", m[3]
         if tag in INLINE:
             links = max(0, links + (-1 if closing else 1)) if tag == "a" else links
-            if tag in ("a", "span") and not closing and attributes and _standing(tag, attributes) in ("!", "=", "-", "?") and not attributes.rstrip().endswith("/"):
-                # An inline element that is marked, such as a share link, is a block of its own.
-                flush()
-                shut = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                at = shut.end() if shut else at
-                links -= tag == "a" and links > 0
+            if tag in ("a", "span") and not attributes.rstrip().endswith("/"):
+                # A link ends at the next one; an end tag ends what was opened inside, too.
+                if closing or tag == "a":
+                    last = max((i for i, x in enumerate(inline) if x.tag == tag), default=None)
+                    if last is not None:
+                        for x in inline[last:]:
+                            x.closed = True
+                        del inline[last:]
+                if not closing:
+                    inline.append(_Inline(tag, _standing(tag, attributes) if attributes else ""))
             continue
         if tag == "br":
             flush()

@@ -91,3 +91,40 @@ def test_table(spark):
     one = (1, "u", ARTICLE, len(ARTICLE))
     assert got == sorted([one, one, (2, None, "", 0), (None, "u", "", 0)], key=str)
     assert html.report(pages.limit(0)).count() == 0
+
+
+def test_marked_links_and_spans_lose_no_sentence():
+    long = "A long first paragraph, with commas, that nobody closed in time. " * 4
+    got = html.main_text(f"<article><a class='skip' name=top>{long}<p>See <a href=x>this</a> end.</article>")
+    assert got == f"{long.strip()}\nSee this end."
+    rest = "The whole text goes on for a while, so that it is the article. " * 4
+    page = "<article><p>Here <span class=notice>the <b>middle</b> matters</span> a lot. {0}</p></article>"
+    assert html.main_text(page.format(rest)) == f"Here the middle matters a lot. {rest.strip()}"
+    nested = f"<article><p>One <span class=share>two <span>in</span> three</span></p><p>{rest}</p></article>"
+    assert html.main_text(nested) == f"One\n{rest.strip()}"
+    ends = f"<article><p><a class=share href=#>Share</a> {rest}<a class=share href=#>Share</a></p><p>Kept <span style='display:none'>gone</span> here.</p></article>"
+    assert html.main_text(ends) == f"{rest.strip()}\nKept here."
+
+
+def test_ratios_equal_sums_by_definition():
+    """Path scores against sums taken anew for every path."""
+    page = "<article><h1>On ducks.</h1><p>One, two; three.</p><p>Four <a href=x>five</a></p><ul><li>six</li><li>seven!</li></ul></article><div><p>eight, <a href=y>nine</a></p></div>"
+    found = html.blocks(page)
+    scores = html.path_scores(found)
+    paths = {b.names for b in found}
+    assert scores.keys() == paths
+
+    def ratio(path):
+        own = [b for b in found if b.names == path]
+        marks = sum(c in html.MARKS for b in own for c in b.text)
+        return [sum(len(b.text) for b in own) / len(own), marks / len(own)]
+
+    for path in paths:
+        near = [q for q in paths if q != path and (q[:-1] == path[:-1] or q == path[:-1] or q[:-1] == path)]
+        smooth = ratio(path)
+        if near:
+            smooth = [html.SMOOTHING * r + (1 - html.SMOOTHING) * sum(ratio(q)[i] for q in near) / len(near) for i, r in enumerate(smooth)]
+        own = [b for b in found if b.names == path]
+        free = 1 - sum(min(b.linked, len(b.text)) for b in own) / max(1, sum(len(b.text) for b in own))
+        weight = 3.0 if any(n.endswith("+") for n in path) else 1.0
+        assert abs(scores[path] - smooth[0] * (1 + smooth[1]) * free ** 2 * weight) < 1e-9
