@@ -21,8 +21,10 @@ positives, the landmarks and matrices of landmarks by landmarks.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections.abc import Iterable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -49,10 +51,12 @@ PUT_IN, CLEAN_UNDER = 0.05, 0.995
 #: Longer words are read in overlapping pieces of this many letters.
 PIECE, STEP = 32, 16
 KEPT_WORDS = 400_000
-BLOCK = 512
+BLOCK = 128
 #: Score of a text without words, and the least of any.
 FLOOR = -2.0
 MAPPED = 4096
+#: Subsequences of words that are scored at once.
+SCORED = 1 << 17
 
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 MARKS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
@@ -160,6 +164,12 @@ def kernel(words: list[str], landmarks: list[str], decay: float = DECAY) -> np.n
     return result
 
 
+@functools.cache
+def _triples(length: int, decay: float = DECAY) -> list[tuple[int, int, int, float]]:
+    """Places of all three-letter subsequences of a word, with the decay of their span."""
+    return [(i, j, k, decay ** (k - i)) for i, j, k in combinations(range(length), 3)]
+
+
 def _divergence(share: np.ndarray | float, base: float) -> float:
     share = min(max(share, 1e-9), 1 - 1e-9)
     return share * np.log(share / base) + (1 - share) * np.log((1 - share) / (1 - base))
@@ -274,9 +284,55 @@ class Model:
         blocks = [kernel(words[i:i + MAPPED], self.landmarks) @ self.root for i in range(0, len(words), MAPPED)]
         return np.vstack(blocks) if blocks else np.zeros((0, self.root.shape[1]), np.float32)
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
+    def mapped_scores(self, words: list[str]) -> np.ndarray:
+        """Scores by way of the kernel with every landmark."""
         return self.map(words) @ self.weights[:-1].astype(np.float32) + np.float32(self.weights[-1])
 
+    def condense(self) -> Model:
+        """Sum up what each three-letter subsequence adds to a score over all landmarks.
+
+        The kernel is a product of the decayed counts of such subsequences, and the machine is linear
+        in it; so a word's score is a sum over its own subsequences, whatever the number of landmarks.
+        """
+        share = (self.root.astype(np.float64) @ self.weights[:-1]) / np.sqrt(np.maximum(_own(self.landmarks, DECAY), 1e-20))
+        self.letters = np.array(sorted(set(map(ord, "".join(self.landmarks)))), np.uint32)
+        size = len(self.letters) + 1
+        table = np.zeros(size ** 3)
+        for mark, part in zip(self.landmarks, share):
+            at = self._letters(_codes([mark], len(mark)))
+            for i, j, k, decay in _triples(len(mark)):
+                table[(at[0, i] * size + at[0, j]) * size + at[0, k]] += part * decay
+        table.reshape(size, size, size)[0] = 0
+        table.reshape(size, size, size)[:, 0] = 0
+        table.reshape(size, size, size)[:, :, 0] = 0
+        self.table = table.astype(np.float32)
+        return self
+
+    def _letters(self, codes: np.ndarray) -> np.ndarray:
+        """Places of letters among those of the landmarks, from 1; 0 for any other."""
+        at = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        return np.where(self.letters[at] == codes, at + 1, 0)
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Each word's score, above 0 on the toxic side of the margin."""
+        result = np.full(len(words), self.weights[-1], np.float32)
+        size = len(self.letters) + 1
+        by_length: dict[int, list[int]] = {}
+        for i, word in enumerate(words):
+            by_length.setdefault(len(word), []).append(i)
+        for length, places in by_length.items():
+            if length < 3:
+                continue
+            first, second, third, decay = map(np.array, zip(*_triples(length)))
+            step = max(1, SCORED // len(first))
+            for start in range(0, len(places), step):
+                block = places[start: start + step]
+                chosen = [words[i] for i in block]
+                at = self._letters(_codes(chosen, length))
+                found = self.table[(at[:, first] * size + at[:, second]) * size + at[:, third]] @ decay.astype(np.float32)
+                result[block] += found / np.sqrt(np.maximum(_own(chosen, DECAY), 1e-20))
+        return result
+
     def summaries(self, bags: list[set[str]]) -> np.ndarray:
         self.learn(set().union(*bags))
         found = [summary(np.fromiter(map(self.known.__getitem__, bag), np.float64, len(bag))) for bag in bags]
@@ -419,6 +475,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean:
     if forms:
         own.append((model.map([f for f, _ in forms]), 1.0, np.array([w for _, w in forms]) * scale))
     model.weights = _svm(own, _distributed_sums(_mapped(others, model), size, scale), size)
+    model.condense()
 
     def summarised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -99,6 +99,12 @@ def test_newton_sums_of_parts_add_up_and_reach_the_least_loss():
     assert all(loss(w) <= loss(w + rng.normal(size=5) * 1e-3) for _ in range(200))
 
 
+def test_scores_by_subsequences_are_those_by_the_kernel(spark, trained):
+    model = t.train(trained[1], trained[2])
+    words = ["blarg", "b.l.a.r.g", "snurfend", "tareno", "ab", "", "xyzxyzxyz" * 3, "éclair", "blaxrg", "narfsnurf"]
+    assert np.allclose(model.word_scores(words), model.mapped_scores(words), atol=1e-4)
+
+
 def test_pivots_explain_the_others():
     words = ["idiot", "idiots", "idiotic", "trash", "trashy", "moron"]
     picked = t.pivots(words, 6, 0.5)
