@@ -25,11 +25,15 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 #: Where a credential's value stands: a naming word, a sign, the value.
 CONTEXT = re.compile(
-    r"""(?:pass(?:word|wd|phrase|code)?|pwd|pin|secret|token|api_?key|credential|auth|bearer|private_?key|access_?key)s?"""
+    r"""(?:pass(?:word|wd|phrase|code)?|pwd|(?<![a-z0-9])pin|secret|token|api_?key|credential|auth|bearer|private_?key|access_?key)s?"""
     r"""["']?\s{0,3}(?:[:=]|=>|\bis\b)\s{0,3}["'<]?([^\s"'<>,;]+)""", re.I | re.A)
 CONTEXT_HINTS = ("pass", "pwd", "pin", "secret", "token", "key", "credential", "auth", "bearer")
 #: Powers of ten of guesses from which a value counts as a secret.
 HARD = 10.0
+#: The same for values of letters in one case, which may be words of any language.
+HARD_LETTERS = 25.0
+#: How far inside a run a piece may start, and the longest value whose cost is remembered.
+INSIDE, REMEMBERED = 16, 64
 
 # Words that guessers try first, most common first, and rows of the keyboard.
 WORDS = (
@@ -108,16 +112,18 @@ def _repeated_block(value: str, start: int, end: int) -> int:
     return size if size < len(piece) else 0
 
 
-@lru_cache(maxsize=20_000)
 def guess_cost(value: str) -> float:
     """Powers of ten of guesses for ``value``: the cheapest segmentation. Empty costs nothing.
 
-    Words and dates are tried at every start; runs whole or cut short at the end; a
-    value of one block repeated costs the block and the count. Work grows with the length.
+    Words and dates are tried at every start, and every part of a run that starts in its first
+    ``INSIDE`` letters, further than any word or date reaches into it; a value of one block
+    repeated may also cost the block and the count. Work grows with the length.
     """
-    if not value:
-        return 0.0
-    brute = _brute(value)
+    return _short_cost(value) if len(value) <= REMEMBERED else _cost(value)
+
+
+def piece_costs(value: str) -> dict[int, list[tuple[int, float]]]:
+    """By end, the start and cost of every word and date."""
     ends: dict[int, list[tuple[int, float]]] = {}
     for start in range(len(value)):
         for end in range(start + 2, min(len(value), start + LONGEST_WORD) + 1):
@@ -127,22 +133,49 @@ def guess_cost(value: str) -> float:
         date = DATE.match(value, start)
         if date and date.end() - start >= 4:
             ends.setdefault(date.end(), []).append((start, 2.1 if date.end() - start == 4 else 4.6))
-    run_of: dict[int, list[tuple[int, float]]] = {}
-    for start, end, kind in _runs(value):
-        first = math.log10(12) if kind != "walk" else math.log10(47 * 6)
-        for stop in range(start + 3, end + 1):
-            turns = 0.35 * (stop - start) if kind == "walk" else 0.0
-            run_of.setdefault(stop, []).append((start, first + math.log10(stop - start) + turns))
+    return ends
+
+
+def run_ends(value: str) -> dict[int, list[tuple[int, str]]]:
+    """By end, the first letter and kind of every run that a piece may take a part of."""
+    ends: dict[int, list[tuple[int, str]]] = {}
+    for first, end, kind in _runs(value):
+        for stop in range(first + 3, end + 1):
+            ends.setdefault(stop, []).append((first, kind))
+    return ends
+
+
+def _run_cost(kind: str, length: int) -> float:
+    turns = 0.35 * length if kind == "walk" else 0.0
+    return math.log10(47 * 6 if kind == "walk" else 12) + math.log10(length) + turns
+
+
+def _cost(value: str) -> float:
+    if not value:
+        return 0.0
+    brute, ends, runs = _brute(value), piece_costs(value), run_ends(value)
     best = [0.0] * (len(value) + 1)
     for end in range(1, len(value) + 1):
         cost = best[end - 1] + brute
-        for start, piece in (*ends.get(end, ()), *run_of.get(end, ())):
+        for start, piece in ends.get(end, ()):
             cost = min(cost, best[start] + piece + 0.3)
+        for first, kind in runs.get(end, ()):
+            for start in range(first, min(end - 3, first + INSIDE) + 1):
+                cost = min(cost, best[start] + _run_cost(kind, end - start) + 0.3)
         best[end] = cost
     size = _repeated_block(value, 0, len(value))
     return min(best[-1], guess_cost(value[:size]) + math.log10(len(value) // size)) if size else best[-1]
 
 
+_short_cost = lru_cache(maxsize=20_000)(_cost)
+
+
+def is_hard(value: str, hard: float = HARD) -> bool:
+    """Whether guessing takes at least ``hard`` powers of ten; of letters in one case ``HARD_LETTERS``."""
+    plain = value.isalpha() and value in (value.lower(), value.upper(), value.capitalize())
+    return guess_cost(value) >= (max(hard, HARD_LETTERS) if plain else hard)
+
+
 def spans(text: str, hard: float = HARD) -> list[tuple[str, int, int]]:
     """(kind, start, end) in code points, by start, then kind in the order of KINDS."""
     found, lowered = [], text.lower()
@@ -155,7 +188,7 @@ def spans(text: str, hard: float = HARD) -> list[tuple[str, int, int]]:
         base = list(found)
         for m in CONTEXT.finditer(text):
             covered = any(start <= m.start(1) and m.end(1) <= end for _, start, end in base)
-            if not covered and guess_cost(m[1]) >= hard:
+            if not covered and is_hard(m[1], hard):
                 found.append(("guess", m.start(1), m.end(1)))
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

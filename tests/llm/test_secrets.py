@@ -47,25 +47,56 @@ def test_guess_costs_rank_values():
     assert s.guess_cost("password") < s.guess_cost("Password1") < s.guess_cost("zR8kQ2mX9wL4tY7b")
 
 
+def brute_pieces(value):
+    """Every substring that is a word, a date or a run, with its cost."""
+    lowered, result = value.lower(), []
+    for start in range(len(value)):
+        for end in range(start + 2, len(value) + 1):
+            piece, low = value[start:end], lowered[start:end]
+            if (cost := s._word_cost(piece)) is not None:
+                result.append((start, end, cost))
+            if (m := s.DATE.match(value, start)) and m.end() == end and end - start >= 4:
+                result.append((start, end, 2.1 if end - start == 4 else 4.6))
+            if end - start < 3:
+                continue
+            steps = {ord(b) - ord(a) for a, b in zip(low, low[1:])}
+            if steps in ({0}, {1}, {-1}):
+                result.append((start, end, s._run_cost("repeat", end - start)))
+            if all(s._beside(a, b) for a, b in zip(low, low[1:])):
+                result.append((start, end, s._run_cost("walk", end - start)))
+    return result
+
+
 def test_cost_is_the_least_over_all_cuts():
-    """Against a plain recursion over all segmentations with the same pieces."""
+    """Against a recursion over all segmentations into all words, dates and runs."""
     import functools
+    import random
 
-    for value in ("test2024xz", "qwe123aaa", "me-root-77"):
-        brute_letter = s._brute(value)
+    rnd = random.Random(4)
+    bits = ["pass", "sss", "qwe", "1999", "2024-01-31", "abc", "X9", "test", "zyx", "aaa", "12", "k#", "root", "asdf", "P4ss"]
+    values = ["test2024xz", "qwe123aaa", "me-root-77", "passsss", "passs", "abcba", "qwertyx12345"]
+    values += ["".join(rnd.choice(bits) for _ in range(rnd.randint(1, 4))) for _ in range(120)]
+    for value in values:
+        brute_letter, pieces = s._brute(value), brute_pieces(value)
 
         @functools.cache
         def best(end):
             if end == 0:
                 return 0.0
-            options = [best(end - 1) + brute_letter]
-            for start in range(end):
-                cost = s._word_cost(value[start:end]) if end - start >= 2 else None
-                if cost is not None:
-                    options.append(best(start) + cost + 0.3)
-            return min(options)
-
-        assert s.guess_cost(value) <= best(len(value)) + 1e-9
+            return min([best(end - 1) + brute_letter, *[best(i) + c + 0.3 for i, j, c in pieces if j == end]])
+
+        size = s._repeated_block(value, 0, len(value))
+        if not size:
+            assert abs(s.guess_cost(value) - best(len(value))) < 1e-9, value
+        best.cache_clear()
+    assert s.guess_cost("passsss") < 4 and s.guess_cost("a" * 50_000) < 8
+
+
+def test_plain_words_are_no_secrets():
+    found = lambda t: [t[a:b] for k, a, b in s.spans(t) if k == "guess"]
+    for text in ("Your pin is unavailable", "token: undefined behaviour", "the secret is Constantinople", "spinning is disagreeable"):
+        assert found(text) == []
+    assert found("pin is 93X7-kw2Qz4") == ["93X7-kw2Qz4"] and found("the passphrase is qpzmwoxnalskeirutybvmcnzpqlwmxgo") != []
 
 
 def test_context_values():
