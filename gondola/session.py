@@ -70,6 +70,12 @@ def written_counted(df: DataFrame, metrics: Mapping[str, Column]) -> tuple[DataF
     return stored, dict(seen.get)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this process wrote."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 @contextmanager
 def scratch_removed(spark: SparkSession) -> Iterator[None]:
     """Remove at the end what ``written`` wrote inside; nothing read from it may be used after."""
@@ -78,6 +84,5 @@ def scratch_removed(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _tables[start:]:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove(spark, path)
         del _tables[start:]

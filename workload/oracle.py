@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload.inputs import ctes
-from workload.queries import PANEL_PRODUCT_LAYOUT, PRODUCT_LAYOUT, STAMP, STORE_LAYOUT
+from workload.queries import PANEL_PRODUCT_LAYOUT, PRODUCT_LAYOUT, STAMP, STORE_LAYOUT, WIDE_DOUBLE, WIDE_LONG
 
 SPACE = r"[\s\x0b\x1c-\x1f\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 NUMBER = r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?"
@@ -484,6 +484,15 @@ def oracle() -> dict[str, str]:
             "missing_product": "not has_product", "missing_store": "not has_store", "bad_date": '"Fecha" is null',
         }.items()
     )
+    sql["panel_run_counters"] = f"""with {PANEL},
+      seen as (select coalesce(has_product, false) as p, coalesce(has_store, false) as s, "Fecha" from numbered)
+      select count(*) as rows_in, count_if(p) as product_matched, count_if(s) as store_matched, count_if(p and s) as matched,
+        count_if("Fecha" is null) as bad_date, count_if(p and s and "Fecha" is not null) as loaded,
+        (select count(distinct "codigo barras sku") from prepared
+         where "codigo barras sku" not in (select "Id_Producto" from panel_products)) as products_queued,
+        (select count(distinct "codigo unico pdv") from prepared
+         where "codigo unico pdv" not in (select "Id_Comercial" from panel_stores)) as stores_queued
+      from seen"""
     sql["run_row_id"] = f"with {PANEL} select {columns} from numbered"
     bounded = ", ".join(f"least({c} * 10000, 1000000.0) as {c}_bounded" for c in ("kilos", "cajas", "fardos"))
     sql["panel_measures"] = f"""with {PANEL} select "categoria sku", "prod clasif 10", fecha, tipo_de_comercio, kilos, cajas, fardos, {bounded}
@@ -549,12 +558,9 @@ def oracle() -> dict[str, str]:
 
     sql["replace_month"] = f"""select * from ({_EXISTING}) where fecha is null or fecha < date '1998-03-01' or fecha >= date '1998-04-01'
       union all select * from ({_LINES}) where fecha >= date '1998-03-01' and fecha < date '1998-04-01'"""
-    sql["replace_periods_found"] = f"""with new as (
-        select l_orderkey as id, cast(l_shipdate as date) as fecha, l_extendedprice as monto from lineitem
-        where l_returnflag = 'R' and l_shipdate >= timestamp '1997-06-15')
-      select * from ({_EXISTING}) where fecha is null
-        or strftime(fecha, '%Y%m') not in (select strftime(fecha, '%Y%m') from new)
-      union all select * from new"""
+    sql["replace_periods_found"] = f"""with old as (select * replace (cast(fecha - interval 12 month as date) as fecha) from ({_EXISTING}))
+      select * from old where fecha is null or strftime(fecha, '%Y%m') not in (select strftime(fecha, '%Y%m') from ({_LINES}) where fecha is not null)
+      union all select * from ({_LINES})"""
     sql["periods_in_batch"] = f"select distinct cast(date_trunc('month', fecha) as date) as period from ({_LINES})"
 
     sql["newest_chain_file"] = _newest("category", _CHAIN_QUALITY + " end", "file_listing")
@@ -579,7 +585,13 @@ def oracle() -> dict[str, str]:
       select count(*) as n, round(avg(x), 6) as mean, round(stddev_samp(x), 6) as std, round(min(x), 6) as min,
         round(quantile_cont(x, 0.25), 6) as q25, round(quantile_cont(x, 0.5), 6) as q50, round(quantile_cont(x, 0.75), 6) as q75,
         round(max(x), 6) as max from v where x is not null"""
-    sql["validated_join_mixed_types"] = """select '00' || cast(l_suppkey as varchar) as store, cast(l_linenumber as integer) as line, s_name
-      from lineitem left join (select * from supplier where s_suppkey % 9 <> 4) on l_suppkey = s_suppkey"""
+    stores = "(select * from supplier where s_suppkey % 9 <> 4)"
+    sql["validated_join_mixed_types"] = f"""with line as (select cast(l_suppkey as hugeint) as k, cast(l_linenumber as integer) as line from lineitem)
+      select 'zeros' as kind, '00' || k as store, line, s_name from line left join {stores} on k = s_suppkey
+      union all select 'digits', k || case when line % 2 = 0 then '.000' else '.00000000001' end, line, s_name
+      from line left join {stores} on k = s_suppkey and line % 2 = 0
+      union all select 'double', cast(k + {WIDE_DOUBLE} as varchar), line, s_name
+      from line left join {stores} on k = s_suppkey and s_suppkey % 2 = 0
+      union all select 'wide', cast(k + {WIDE_LONG}::hugeint as varchar), line, s_name from line left join {stores} on k = s_suppkey"""
     sql["numeric_profile_by_category"] = _profile("kind")
     return sql

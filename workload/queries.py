@@ -379,6 +379,16 @@ def rejects_by_reason(spark, sf_dir):
     return bad.select("Id", "Fecha", "Id_Comercial", "Id_Producto", "reason")
 
 
+@query
+def panel_run_counters(spark, sf_dir):
+    """What a panel run counts: rows matched, without a date and loaded, keys queued."""
+    stores, products = load(spark, sf_dir, "panel_stores"), load(spark, sf_dir, "panel_products")
+    mapping = tables.store_name_mapping(load(spark, sf_dir, "store_names"))
+    prepared = panel.prepare(load(spark, sf_dir, "panel_feed"), mapping)
+    queues = review.panel_product_queue(prepared, products, PANEL_PRODUCT_LAYOUT), review.panel_store_queue(prepared, stores)
+    return panel.counters(panel.flag_rows(panel.fact_candidates(prepared), stores, products), queues)
+
+
 @query
 def run_row_id(spark, sf_dir):
     rows = panel.with_ids(_panel_candidates(spark, sf_dir), STAMP, PANEL_ORDER)
@@ -509,10 +519,9 @@ def replace_month(spark, sf_dir):
 
 @query
 def replace_periods_found(spark, sf_dir):
-    """The orders with every month of the returned lines of 1997 on replaced."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_returnflag = 'R' and l_shipdate >= timestamp_ntz '1997-06-15'")
-    new = lines.select(F.col("l_orderkey").alias("id"), F.col("l_shipdate").cast("date").alias("fecha"), F.col("l_extendedprice").alias("monto"))
-    return replace.replace_periods_found(_existing(spark, sf_dir), new, "fecha")
+    """The orders, a year earlier, with every month of all lines replaced; the months before them stay."""
+    existing = _existing(spark, sf_dir).withColumn("fecha", F.add_months("fecha", -12))
+    return replace.replace_periods_found(existing, _arriving(spark, sf_dir), "fecha")
 
 
 @query
@@ -598,11 +607,30 @@ def numeric_profile_fine(spark, sf_dir):
     return quality.numeric_profile(values, "x").withColumns(rounded)
 
 
+#: What is added to supplier keys so that doubles, or longs, no longer hold all of them.
+WIDE_DOUBLE, WIDE_LONG = 1 << 53, 10 ** 34
+
+
 @query
 def validated_join_mixed_types(spark, sf_dir):
-    """Lines against suppliers where one side's key is text with zeros in front, the other a decimal."""
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
-        F.concat(F.lit("00"), F.col("l_suppkey").cast("string")).alias("store"), F.col("l_linenumber").cast("int").alias("line"))
-    stores = spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_suppkey % 9 <> 4").select(
-        F.col("s_suppkey").cast("decimal(12,2)").alias("id"), "s_name")
-    return joins.validated_join(lines, stores, "store", "id", "left")[0].select("store", "line", "s_name")
+    """Lines against suppliers with keys of two types: text with zeros in front or digits behind the
+    point, longs against doubles beyond their exact range, 35-digit text against decimals."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select("l_suppkey", F.col("l_linenumber").cast("int").alias("line"))
+    stores = spark.read.parquet(f"{sf_dir}/supplier.parquet").filter("s_suppkey % 9 <> 4")
+    key, text = F.col("l_suppkey"), F.col("l_suppkey").cast("string")
+    supplier = F.col("s_suppkey")
+    digits = F.when(F.col("line") % 2 == 0, ".000").otherwise(".00000000001")
+    even = stores.filter("s_suppkey % 2 = 0")
+    wide = F.lit(str(WIDE_LONG)).cast("decimal(38,0)")
+    cases = {
+        "zeros": (F.concat(F.lit("00"), text), stores, supplier.cast("decimal(12,2)")),
+        "digits": (F.concat(text, digits), stores, supplier.cast("int")),
+        "double": (key.cast("bigint") + F.lit(WIDE_DOUBLE), even, (supplier.cast("bigint") + F.lit(WIDE_DOUBLE)).cast("double")),
+        "wide": ((key.cast("decimal(38,0)") + wide).cast("decimal(38,0)").cast("string"), stores, (supplier.cast("decimal(38,0)") + wide).cast("decimal(38,0)")),
+    }
+    parts = []
+    for name, (left, dim, right) in cases.items():
+        fact = lines.select(left.alias("store"), "line")
+        joined = joins.validated_join(fact, dim.select(right.alias("id"), "s_name"), "store", "id", "left")[0]
+        parts.append(joined.select(F.lit(name).alias("kind"), F.col("store").cast("string").alias("store"), "line", "s_name"))
+    return reduce(DataFrame.unionByName, parts)
