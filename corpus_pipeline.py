@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gondola.llm import byte_pair, decontaminate, lines, simhash, toxicity
 from gondola.llm.common import table
 from gondola.llm.queries import RANKS
-from gondola.session import shared_dir
+from gondola.session import remove, scratch_removed, shared_dir
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is stored in the shared folder in between."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each result is stored in the shared folder in between.
+
+    What a stage wrote on the way goes when its result stands, and a stage's input with it; only
+    the last result stays. NULL and empty texts pass every stage but near-duplicate removal,
+    where they are copies of each other; rows that repeat a doc_id are judged each by its text;
+    no documents give no rows, and columns of any name pass unchanged.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}-{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs

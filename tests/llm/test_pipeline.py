@@ -1,9 +1,11 @@
+import os
 import random
 
 import pytest
 
 import corpus_pipeline
 from gondola.llm import simhash
+from gondola.session import shared_dir
 
 
 def tables(folder, spark):
@@ -52,6 +54,22 @@ def test_each_stage_on_its_own_input(spark, folder):
 
 def test_run_returns_the_last_stage(spark, folder):
     path, _ = folder
+    scratch = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(scratch))
     got = corpus_pipeline.run(spark, path)
+    # Only the last stage's table stays.
+    assert [n.rsplit("-", 1)[1] for n in set(os.listdir(scratch)) - before] == [str(len(corpus_pipeline.STAGES) - 1)]
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 80
     assert corpus_pipeline.ORACLE_SQL is None and [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity"
+
+
+def test_empty_tables_and_clashing_columns(spark, folder, tmp_path):
+    path, _ = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), path).count() == 0, name
+    more = {c: "x" for c in ("_doc", "_key", "_gone", "_d", "_k", "row", "key", "bad", "gone", "print", "node", "id")}
+    wide = docs.selectExpr("*", *[f"'{v}' as `{c}`" for c, v in more.items()]).limit(20)
+    twice = wide.unionByName(wide.selectExpr("doc_id", "concat(text, ' twice') as text", *[f"`{c}`" for c in wide.columns[2:]]))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, twice, path).columns == twice.columns, name

@@ -100,3 +100,14 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = spark.createDataFrame(chain, "a long, b long")
     got = {r.node: r.component for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{i: 100 for i in range(100, 180)}, 200: 200, 201: 200}
+
+
+def test_one_row_of_each_component_where_ids_repeat(spark):
+    a, b, c = ("the quick brown fox jumps over a lazy dog", "wholly other words stand in this one text", "and a third that shares nothing at all")
+    rows = [(3, a, {"x": 1}), (5, a, None), (5, b, {"y": 2}), (5, c, None), (5, c, None), (7, b, None), (None, a, None), (None, None, None), (9, None, None), (8, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, print map<string,int>")
+    got = simhash.one_per_component(docs)
+    assert got.columns == docs.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert kept == sorted([(3, a), (5, b), (5, c), (None, a), (None, None), (8, "")], key=str)
+    assert simhash.one_per_component(docs.limit(0)).count() == 0
