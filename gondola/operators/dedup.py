@@ -28,6 +28,26 @@ def keep_first(
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")
 
 
+def first_row(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()
+) -> DataFrame:
+    """``keep_first`` as an aggregate: the smallest row per key, NULL being a key of its own.
+
+    Spark knows that an aggregate is unique on its keys, and computes only the columns that are
+    used. So a left join with it is left out where nothing reads its columns, and counting the rows
+    shuffles the keys alone. Rows equal in ``order_by`` are told apart by the other columns, which
+    must be of types that have an order.
+    """
+    order = list(dict.fromkeys(order_by or df.columns))
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*[F.col(quoted(c)) for c in dict.fromkeys([*order, *rest]) if c not in keys])
+    if not rest:
+        return distinct_keys(df, *keys)
+    first = df.groupBy(*_columns(keys)).agg(F.min(row).alias("_first"))
+    fields = {c: F.col("_first").getField(c).alias(c) for c in rest}
+    return first.select(*[fields.get(c, F.col(quoted(c))) for c in df.columns])
+
+
 def keep_last(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[str]) -> DataFrame:
     return keep_first(df, keys, [F.col(quoted(c)).desc() for c in order_by])
 

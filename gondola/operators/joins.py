@@ -18,7 +18,7 @@ from pyspark.sql.types import (
 )
 
 from gondola.functions.text import match_key, strip
-from gondola.operators.dedup import distinct_keys, keep_first
+from gondola.operators.dedup import distinct_keys, first_row, keep_first
 from gondola.operators.schema import quoted, require_columns
 
 HOW = ("inner", "left", "right", "outer")
@@ -249,7 +249,7 @@ def correct_store_names(
         F.col("`Nombre PDV Correcto`").alias("_fixed"),
     )
     key_names = [f"_k{i}" for i in range(len(keys))]
-    fixes = keep_first(fixes.dropna(), key_names, ["_fixed"])
+    fixes = first_row(fixes.dropna(), key_names)
     fixes = fixes.withColumnsRenamed({k: "_m" + k for k in key_names})
     keyed = df.withColumns(
         {f"_k{i}": match_key(F.col(quoted(ours))) for i, ours in enumerate(keys)}

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gondola.functions.numbers import thousands_number
 from gondola.functions.retail import presentation_text
 from gondola.functions.text import strip
-from gondola.operators.dedup import keep_first
+from gondola.operators.dedup import first_row, keep_first
 from gondola.operators.joins import anti_by_key
 from gondola.operators.schema import column_or_null, quoted, require_columns
 
@@ -132,4 +132,4 @@ def _first_missing(
     feed: DataFrame, dim: DataFrame, key: str, dim_key: str, order_by: Sequence[str]
 ) -> DataFrame:
     known = dim.select(F.col(quoted(dim_key)).cast("string").alias(dim_key))
-    return keep_first(anti_by_key(feed, known, key, dim_key), [key], order_by)
+    return first_row(anti_by_key(feed, known, key, dim_key), [key], order_by)

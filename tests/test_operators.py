@@ -49,6 +49,29 @@ def test_keep_first_is_cut_before_the_shuffle(spark, plan_of):
     assert plan_of(first).count("WindowGroupLimit") >= 2
 
 
+def test_first_row_is_keep_first_and_computes_only_what_is_used(spark, plan_of):
+    made = [(None, 2, "b", None), (None, 1, "c", 1.0), ("x", 3, "a", float("nan")), ("x", 3, "a", 0.5), ("y", None, None, 2.0), ("y", 0, "z", 2.0)]
+    df = spark.createDataFrame(made, "v string, k int, w string, x double").repartition(3)
+    for keys, order in ((["v"], ()), (["v"], ["x", "w", "k"]), (["k"], ["w"]), (["v", "k", "w", "x"], ())):
+        first = dedup.first_row(df, keys, order)
+        assert first.columns == df.columns
+        assert repr(rows(first)) == repr(rows(dedup.keep_first(df, keys, order and [*order, "x", "v"])))
+    counted = dedup.first_row(df, ["v"]).groupBy().count()
+    assert counted.first()[0] == 3
+    optimized = plan_of(counted).split("== Optimized Logical Plan ==")[1]
+    assert "min(" not in optimized and "Window" not in optimized
+
+
+def test_a_corrected_name_that_nothing_reads_costs_no_join(spark, plan_of):
+    feed = spark.createDataFrame([(1, " a ", "L"), (2, "b", "M"), (3, None, None)], "id int, `nombre pdv` string, pdv_razon_social string")
+    fixes = [("A", "l", "Zeta"), ("a", "L", "Alfa"), ("b", "other", "Beta")]
+    mapping = spark.createDataFrame(fixes, "`Nombre PDV` string, PDV_RAZON_SOCIAL string, `Nombre PDV Correcto` string")
+    named = joins.correct_store_names(feed, mapping)
+    assert rows(named.select("id", "`nombre pdv`")) == [(1, "Alfa"), (2, "b"), (3, None)]
+    optimized = plan_of(named.select("id", "pdv_razon_social")).split("== Optimized Logical Plan ==")[1]
+    assert "Join" not in optimized
+
+
 def test_keep_last(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")], "k string, o int, v string")
     assert rows(dedup.keep_last(df, ["k"], ["o"])) == [("a", 2, "y"), ("b", 1, "z")]
