@@ -22,7 +22,8 @@ PROBES = 2
 #: Terms that one pass over the documents may broadcast; more terms take more passes.
 PASS_TERMS = 200_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: ASCII but letters and digits, character by character: Java looks these up in a table, but tries ranges one after the other.
+BREAKS = "[" + "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 
 
 def words(text: Column) -> Column:

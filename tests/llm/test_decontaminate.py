@@ -85,3 +85,8 @@ def test_empty_tables(spark, empty):
     docs, items = docs.limit(0) if empty != "items" else docs, items.limit(0) if empty != "docs" else items
     rows = [] if empty != "items" else DOCS
     assert sorted(map(tuple, d.report(docs, items).collect()), key=str) == brute(rows, [])
+
+
+def test_breaks_are_single_characters():
+    assert "-" not in d.BREAKS
+    assert all(bool(re.fullmatch(d.BREAKS, chr(c))) == (c < 128 and not chr(c).isalnum()) for c in range(0x3000))
