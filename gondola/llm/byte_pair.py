@@ -13,7 +13,6 @@ pieces one by one. Finished pieces are kept in a bounded table per task.
 from __future__ import annotations
 
 import base64
-import functools
 import gc
 import hashlib
 import itertools
@@ -31,7 +30,7 @@ NONE = np.int64(1) << 40
 #: Pieces of more bytes are merged one by one.
 ROW_LIMIT = 64
 #: Finished pieces kept per task; the table is emptied when it is full.
-KEPT_PIECES = 500_000
+KEPT_PIECES = 250_000
 ROWS_AT_ONCE = 4096
 
 
@@ -276,15 +275,21 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@functools.lru_cache(maxsize=1)
-def _encoder(ranks: bytes, pattern: str) -> Encoder:
-    """One encoder per worker process, kept between its tasks. Its tables hold no cycles, and
-    the collector would walk them again and again."""
-    gc.disable()
-    return Encoder(ranks, pattern)
+class Ranks:
+    """What is broadcast: the rank file's bytes. A worker keeps the encoder it makes of them between its
+    tasks and as long as the broadcast, so later stages' tasks in the same worker don't find its tables."""
+
+    def __init__(self, ranks: bytes):
+        self.ranks, self.made = ranks, None
+
+    def encoder(self, pattern: str) -> Encoder:
+        if self.made is None:
+            self.made = Encoder(self.ranks, pattern)
+        return self.made
 
 
-BLOCK_CHARS = 4_000_000
+#: Texts that are decoded, and characters that are taken apart, at once.
+ROWS, BLOCK_CHARS = 1000, 2_000_000
 
 
 def _blocks(texts: list[str]) -> Iterable[list[str]]:
@@ -300,16 +305,20 @@ def _blocks(texts: list[str]) -> Iterable[list[str]]:
 
 
 def _with_encoder(spark: SparkSession, ranks_path: str, pattern: str, use: Callable[[Encoder, bytes], tuple], fields: dict):
-    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    shared = spark.sparkContext.broadcast(Ranks(read_ranks(ranks_path)))
     types = {"string": pa.string(), "bigint": pa.int64(), "binary": pa.binary(), "array<int>": pa.list_(pa.int32())}
 
     def made():
-        encoder = _encoder(shared.value, pattern)
+        encoder = shared.value.encoder(pattern)
 
         def run(texts: list[str]) -> pa.Array:
             rows = []
-            for block in _blocks(texts):
-                rows.extend(use(encoder, ids) for ids in encoder.encode(block))
+            gc.disable()  # The tables hold no cycles, and the collector would walk them again and again.
+            try:
+                for block in _blocks(texts):
+                    rows.extend(use(encoder, ids) for ids in encoder.encode(block))
+            finally:
+                gc.enable()
             columns = zip(*rows) if rows else [[] for _ in fields]
             return struct_array(**{n: pa.array(c, types[t]) for (n, t), c in zip(fields.items(), columns)})
 
@@ -333,22 +342,22 @@ def encoded(spark: SparkSession, text: Column, ranks_path: str, pattern: str) ->
     Each match of ``pattern`` is merged by itself by the ranks of the file; no special tokens.
     NULL and empty texts have no tokens. Any length is taken whole.
     """
-    return per_text(*_with_encoder(spark, ranks_path, pattern, _tokens, {"ids": "array<int>", "decoded": "binary"}), text)
+    return per_text(*_with_encoder(spark, ranks_path, pattern, _tokens, {"ids": "array<int>", "decoded": "binary"}), text, ROWS)
 
 
 def digests(spark: SparkSession, text: Column, ranks_path: str, pattern: str) -> Column:
     """struct(n_tokens, ids_sha256, decoded_sha256) of the same, without moving the ids to the JVM."""
     fields = {"n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"}
-    return per_text(*_with_encoder(spark, ranks_path, pattern, _digests, fields), text)
+    return per_text(*_with_encoder(spark, ranks_path, pattern, _digests, fields), text, ROWS)
 
 
 def decode_ids(spark: SparkSession, ids: Column, ranks_path: str) -> Column:
     """The bytes that an array of token ids stands for; ids outside the vocabulary raise."""
-    shared = spark.sparkContext.broadcast(read_ranks(ranks_path))
+    shared = spark.sparkContext.broadcast(Ranks(read_ranks(ranks_path)))
 
     @F.arrow_udf("binary")
     def apply(batch: pa.Array) -> pa.Array:
-        tokens = _encoder(shared.value, "").vocabulary.tokens
+        tokens = shared.value.encoder("").vocabulary.tokens
         return pa.array([None if row is None else b"".join(tokens[i] for i in row) for row in batch.to_pylist()], pa.binary())
 
     return apply(ids)

@@ -50,13 +50,14 @@ RIDGE, STEPS = 1e-5, 15
 PUT_IN, CLEAN_UNDER = 0.05, 0.995
 #: Longer words are read in overlapping pieces of this many letters.
 PIECE, STEP = 32, 16
-KEPT_WORDS = 400_000
+KEPT_WORDS = 200_000
 BLOCK = 128
 #: Score of a text without words, and the least of any.
 FLOOR = -2.0
 MAPPED = 4096
-#: Subsequences of words that are scored at once.
+#: Subsequences of words that are scored at once; texts that are decoded, and characters that are scored, at once.
 SCORED = 1 << 17
+ROWS, BLOCK_CHARS = 1000, 2_000_000
 
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
 MARKS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
@@ -505,10 +506,10 @@ def scored(model: Model, text: Column, spark) -> Column:
 
         return run
 
-    return per_text(made, "double", text)
+    return per_text(made, "double", text, ROWS)
 
 
-def _blocks(texts: list[str], chars: int = 4_000_000) -> Iterable[list[str]]:
+def _blocks(texts: list[str], chars: int = BLOCK_CHARS) -> Iterable[list[str]]:
     block, size = [], 0
     for text in texts:
         block.append(text)

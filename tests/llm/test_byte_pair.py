@@ -1,8 +1,10 @@
+import gc
 import hashlib
 import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -66,3 +68,17 @@ def test_columns(spark, library):
     back = ids.select("text", "decoded", byte_pair.decode_ids(spark, F.col("ids"), PATH).alias("again")).collect()
     assert all(bytes(r.decoded) == bytes(r.again) == (r.text or "").encode() for r in back)
     assert byte_pair.token_report(docs.limit(0), PATH, PATTERN).count() == 0
+
+
+def test_later_tasks_of_a_worker_find_no_tables(spark):
+    docs = spark.createDataFrame([(i, "some text") for i in range(64)], "doc_id long, text string").repartition(8)
+    assert byte_pair.token_report(docs, PATH, PATTERN).count() == 64
+    byte_pair.token_report(docs, PATH, PATTERN).collect()
+
+    def left(batches):
+        for batch in batches:
+            encoders = sum(type(o).__name__ == "Encoder" for o in gc.get_objects())
+            yield pa.RecordBatch.from_pydict({"encoders": pa.array([encoders], pa.int32()), "collects": pa.array([gc.isenabled()])})
+
+    got = spark.range(8, numPartitions=8).mapInArrow(left, "encoders int, collects boolean").collect()
+    assert len(got) == 8 and {tuple(r) for r in got} == {(0, True)}
