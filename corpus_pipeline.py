@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gondola.llm import byte_pair, decontaminate, lines, simhash, toxicity
 from gondola.llm.common import table
 from gondola.llm.queries import RANKS
-from gondola.session import remove, scratch_removed, shared_dir
+from gondola.session import remove, scratch_removed, shared_dir, store
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (_, stage) in enumerate(STAGES):
         path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}-{number}"
         with scratch_removed(spark):
-            stage(spark, docs, sf_dir).write.parquet(path)
+            store(stage(spark, docs, sf_dir), path)
         if before:
             remove(spark, before)
         docs, before = spark.read.parquet(path), path
